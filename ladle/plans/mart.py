@@ -10,6 +10,7 @@ every stored table, it broadcasts small ones by itself and shuffles large ones.
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from functools import cached_property
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.config import Config
-from ladle.operators import asof, cleaning, customers, fact, items
+from ladle.operators import asof, cleaning, customers, fact, items, ml
 from ladle.sources.star import StarTables
 
 
@@ -176,6 +177,48 @@ class Mart:
         """Customer features with the rule-based segment."""
         return self.keep("customer_segments", customers.rule_segments(self.customers))
 
+    # -- models -------------------------------------------------------------
+    @cached_property
+    def first_family(self) -> ml.Trained:
+        started = time.time()
+        trained = ml.train_family(self.cells, ml.first_family(self.cfg), ml.FIRST_FEATURES, self.cfg)
+        self.first_seconds = round(time.time() - started, 1)
+        return trained
+
+    @cached_property
+    def second_family(self) -> ml.Trained:
+        rows = self.cells.count()
+        return ml.train_family(self.cells, ml.second_family(rows, self.cfg), ml.SECOND_FEATURES, self.cfg)
+
+    @cached_property
+    def first_predictions(self) -> DataFrame:
+        return self.keep("spark_predictions", ml.score_cells(
+            self.cells, self.first_family.model, ml.FIRST_FEATURES))
+
+    @cached_property
+    def second_predictions(self) -> DataFrame:
+        return self.keep("python_predictions", ml.score_cells(
+            self.cells, self.second_family.model, ml.SECOND_FEATURES))
+
+    @cached_property
+    def cluster_segments(self) -> DataFrame:
+        return self.keep("cluster_segments", ml.segment_customers(self.customers, seed=self.cfg.seed))
+
+    @cached_property
+    def churn_model(self) -> ml.ChurnModel:
+        return ml.train_churn(self.customers, self.cfg)
+
+    @cached_property
+    def churn_scores(self) -> DataFrame:
+        return self.keep("churn_scores", ml.score_churn(self.customers, self.churn_model, self.cfg))
+
+    def churn_report(self) -> DataFrame:
+        return customers.churn_report(self.churn_scores, self.cfg)
+
+    @property
+    def segment_report(self) -> DataFrame:
+        return customers.segment_profile(self.cluster_segments, self.orders, self.churn_scores)
+
 
 _MARTS: dict[tuple[str, str], Mart] = {}
 

@@ -1 +1,180 @@
-"""(filled below)"""
+"""Models, splits, clustering, churn, and the report, payload and file outputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ladle.operators import items, kpis, ml, quality, series
+from ladle.plans.registry import query, rounded
+from ladle.sources import sinks
+
+# -- splits -----------------------------------------------------------------
+_KEYS = ["item_id", "location_id"]
+
+
+def _split_sizes(m, parts):
+    split = ml.stratified_split(m.cells.select(*_KEYS, "local_class"), "local_class", _KEYS, parts, m.cfg.seed)
+    return split.groupBy("local_class", "split").agg(F.count("*").alias("samples"))
+
+
+def _split_sql(parts):
+    rows, upto = [], 0
+    for name, pct in parts.items():
+        low, upto = upto, upto + pct
+        rows.append(f"SELECT local_class, '{name}' AS split, n * {upto} // 100 - n * {low} // 100 AS samples FROM sizes")
+    return "SELECT * FROM (" + " UNION ALL ".join(rows) + ") WHERE samples > 0"
+
+
+_SIZES = "sizes AS (SELECT local_class, count(*) AS n FROM samples GROUP BY local_class)"
+_HALF, _THREE = {"train": 70, "test": 30}, {"train": 70, "val": 15, "test": 15}
+query("stratified_split_sizes", "ML2", lambda m: _split_sizes(m, _HALF), _split_sql(_HALF), _SIZES)
+query("three_way_split_sizes", "ML2 IO13", lambda m: _split_sizes(m, _THREE), _split_sql(_THREE), _SIZES)
+query("random_split_sizes", "ML2",
+      lambda m: ml.random_split(m.cells, _KEYS, 70, m.cfg.seed).groupBy("split").agg(F.count("*").alias("samples")))
+
+# -- models -----------------------------------------------------------------
+query("first_family_leaderboard", "ML1 ML3 ML4 ML5 ML9", lambda m: m.first_family.leaderboard(m.cells))
+query("second_family_leaderboard", "ML6 ML7 ML8 ML9", lambda m: m.second_family.leaderboard(m.cells))
+query("spark_predictions", "ML10 S22", lambda m: m.first_predictions)
+query("python_predictions", "ML8 ML10", lambda m: m.second_predictions)
+query("model_comparison", "ML11 J13", lambda m: ml.compare_predictions(m.first_predictions, m.second_predictions))
+query("model_agreement", "ML11",
+      lambda m: ml.agreement(ml.compare_predictions(m.first_predictions, m.second_predictions)))
+query("model_comparison_view", "ML11",
+      lambda m: ml.comparison_view(ml.compare_predictions(m.first_predictions, m.second_predictions), m.locations))
+
+
+def _two_labelings(m):
+    """Local class against menu-wide class: two fixed labelings of the same cells."""
+    menu = m.menu.select("item_id", F.col("menu_class").alias("predicted"))
+    second = m.cells.join(menu, "item_id")
+    first = m.cells.select(*_KEYS, F.col("local_class").alias("predicted"))
+    return ml.compare_predictions(first, second)
+
+
+_LABELINGS = """labelings AS (
+  SELECT s.item_id, s.name, s.location_id, s.local_class AS spark_model, m.menu_class AS python_model,
+         s.local_class = m.menu_class AS agree FROM samples s JOIN menu m USING (item_id))"""
+query("labeling_comparison", "ML11", _two_labelings, "SELECT * FROM labelings", _LABELINGS)
+query("labeling_agreement", "ML11", lambda m: ml.agreement(_two_labelings(m)),
+      """SELECT CAST(round_even(avg(CASE WHEN agree THEN 1 ELSE 0 END) * 100, 0) AS INTEGER) AS agreement_pct,
+                count_if(agree) AS matches, count_if(NOT agree) AS disagreements, count(*) AS samples FROM labelings""",
+      _LABELINGS)
+query("labeling_scores", "ML9",
+      lambda m: rounded(ml.scoreboard_row(_two_labelings(m), "spark_model", "python_model")),
+      """SELECT round((SELECT avg(CASE WHEN agree THEN 1.0 ELSE 0 END) FROM labelings), 6) AS accuracy,
+                round(avg(f1), 6) AS macro_f1, round(sum(f1 * support) / sum(support), 6) AS weighted_f1
+         FROM (SELECT support, coalesce(2.0 * hits / nullif(support + guessed, 0), 0) AS f1
+               FROM (SELECT k, count_if(spark_model = k) AS support, count_if(python_model = k) AS guessed,
+                            count_if(spark_model = k AND agree) AS hits
+                     FROM labelings, (SELECT DISTINCT unnest([spark_model, python_model]) AS k FROM labelings)
+                     GROUP BY k))""", _LABELINGS)
+
+# -- clustering and churn ---------------------------------------------------
+query("kmeans_segments", "C5 C7", lambda m: m.cluster_segments.select("customer_id", "cluster", "segment"))
+query("kmeans_profiles", "C6 C7",
+      lambda m: rounded(ml.cluster_profiles(m.cluster_segments)).join(
+          m.cluster_segments.select("cluster", "segment").distinct(), "cluster"))
+query("kmeans_segment_report", "C9 C10", lambda m: m.segment_report)
+query("churn_scores", "C14 C15", lambda m: m.churn_scores.select("customer_id", "churn_prob", "risk_band"))
+query("churn_metrics", "C14 C15", lambda m: ml.churn_metrics(m.churn_scores, m.churn_model))
+query("churn_risk", "C16", lambda m: m.churn_report())
+
+# -- outputs ----------------------------------------------------------------
+
+
+def _parquet_round_trip(m):
+    """The stored fact, read back with a filter on its partition column."""
+    return m.fact.filter("location_id = 3").groupBy("location_id").agg(
+        F.count("*").alias("order_lines"), F.sum("revenue").cast("decimal(18,2)").alias("revenue"))
+
+
+query("parquet_fact_partition", "IO5", _parquet_round_trip,
+      """SELECT location_id, count(*) AS order_lines, CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue
+         FROM fact WHERE location_id = 3 GROUP BY location_id""")
+
+
+def _csv_round_trip(m, infer):
+    """All raw orders written as CSV and scanned back, typed by schema or by inference."""
+    path = f"{m.root}/csv_orders"
+    m.raw_orders.write.mode("overwrite").option("header", True).csv(path)
+    reader = m.spark.read.option("header", True)
+    reader = reader.option("inferSchema", True) if infer else reader.schema(m.raw_orders.schema)
+    return reader.csv(path).groupBy("channel", "status").agg(
+        F.count("*").alias("orders"), F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("decimal(18,2)").alias("amount"),
+        F.max(F.col("order_ts").cast("timestamp")).alias("last_ts"))
+
+
+_CSV_SQL = """SELECT channel, status, count(*) AS orders, CAST(sum(total_amount) AS DECIMAL(18,2)) AS amount,
+                     max(order_ts) AS last_ts FROM raw_orders GROUP BY channel, status"""
+query("csv_scan_with_schema", "IO1 IO3", lambda m: _csv_round_trip(m, False), _CSV_SQL)
+query("csv_scan_inferred", "IO2", lambda m: _csv_round_trip(m, True), _CSV_SQL)
+
+
+def _report_round_trip(m, fmt):
+    sinks.write_report(items.profitability(m.menu, m.categories), m.root, f"profitability_{fmt}", fmt)
+    df = sinks.read_report(m.spark, m.root, f"profitability_{fmt}", fmt)
+    return df.select("item_id", F.col("revenue").cast("decimal(18,2)").alias("revenue"),
+                     F.col("margin_pct").cast("double").alias("margin_pct"), "menu_class")
+
+
+_REPORT_SQL = "SELECT item_id, revenue, round_even(margin * 100, 1) AS margin_pct, menu_class FROM menu"
+query("report_parquet", "IO6", lambda m: _report_round_trip(m, "parquet"), _REPORT_SQL)
+query("report_csv", "IO6", lambda m: _report_round_trip(m, "csv"), _REPORT_SQL)
+query("report_lookup", "IO10 J5",
+      lambda m: m.orders.join(m.segments.select("customer_id", "segment"), "customer_id", "left").groupBy("segment").agg(
+          F.count("*").alias("orders"), F.sum("revenue").cast("decimal(18,2)").alias("revenue")),
+      """SELECT segment, count(*) AS orders, CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue
+         FROM order_facts LEFT JOIN segments USING (customer_id) GROUP BY segment""")
+query("report_view", "IO12",
+      lambda m: sinks.report_view(m.cells.select("item_id", "location_id", "qty"), ["item_id", "location_id"],
+                                  m.cfg.view_cap),
+      """SELECT item_id, location_id, qty, (SELECT count(*) FROM samples) AS total,
+                (SELECT count(*) > 2000 FROM samples) AS truncated
+         FROM samples ORDER BY item_id, location_id LIMIT 2000""")
+
+
+def _catalogue(m):
+    sinks.write_report(m.menu, f"{m.root}/reports", "menu_performance")
+    sinks.write_report(series.monthly(m.orders), f"{m.root}/reports", "peak_monthly")
+    return sinks.catalogue(m.spark, f"{m.root}/reports")
+
+
+query("report_catalogue", "IO11", _catalogue)
+
+
+def _payload(m):
+    doc = sinks.payload(m.spark, {
+        "kpis": kpis.kpi_row(m.orders, m.wastage),
+        "menu": m.menu.select("item_id", "name", "qty", "revenue", "menu_class"),
+        "class_counts": items.class_counts(m.menu),
+        "monthly": series.monthly(m.orders),
+        "locations": kpis.outlet_economics(m.orders),
+        "quality": quality.issue_counts(quality.waste_issues(m.wastage)),
+    })
+    sinks.write_payload(doc, f"{m.root}/payload")
+    return m.spark.read.schema(doc.schema).json(f"{m.root}/payload").select(
+        *[F.size(c).alias(c) for c in doc.columns if c != "version"])
+
+
+query("payload_sections", "IO7", _payload)
+
+
+def _metrics(m):
+    doc = ml.metrics_document(m.first_family, m.cells, "Apache Spark MLlib", m.first_seconds)
+    doc.write.mode("overwrite").json(f"{m.root}/metrics")
+    return m.spark.read.schema(doc.schema).json(f"{m.root}/metrics").select(
+        "engine", "selected", "n_samples", F.size("features").alias("features"), F.size("leaderboard").alias("models"))
+
+
+query("metrics_document", "IO8", _metrics)
+
+
+def _model_round_trip(m):
+    path = f"{m.root}/model"
+    ml.save_model(m.first_family.model, path)
+    again = ml.score_cells(m.cells, ml.load_model(path), m.first_family.features)
+    return again.groupBy("predicted").agg(F.count("*").alias("cells"))
+
+
+query("model_save_load", "IO9", _model_round_trip)
