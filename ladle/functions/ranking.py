@@ -1,4 +1,4 @@
-"""Exact ranks of unbounded tables without a one-task window.
+"""Exact ranks and quantiles of unbounded tables without a one-task window.
 
 A global ``row_number`` sorts the whole table in one task. Here rows are first put
 into ordered cells of bounded size, cells are counted, and the rank is the number of
@@ -8,39 +8,89 @@ evenly rows spread; the ranks are exact whatever the cut points are.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ROWS_PER_CELL = 1_000_000
+MIN_CELLS, MAX_CELLS = 16, 4096
+
+
+def cells_for(rows: int) -> int:
+    """Number of cells so that one cell holds about a million rows."""
+    return max(MIN_CELLS, min(MAX_CELLS, rows // ROWS_PER_CELL))
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """Distinct ordered cut points and how many quantiles fell on each.
 
-def value_cuts(df: DataFrame, columns: list[str], cells: int) -> dict[str, list[float]]:
-    """Approximate quantile cut points per column, in one pass; ``cells`` numbers each."""
+    A weight above one marks a value that many rows share.
+    """
+
+    points: list[float]
+    weights: list[int]
+
+    @classmethod
+    def of(cls, quantiles: list[float]) -> "Cuts":
+        runs = [(point, len(list(same))) for point, same in groupby(sorted(quantiles))]
+        return cls([p for p, _ in runs], [w for _, w in runs])
+
+    def position(self, value: Column) -> Column:
+        """Ordered cell number: odd on a cut point, even in the gaps between them.
+
+        Two short array scans (block, then point in block) instead of one long one.
+        """
+        if not self.points:
+            return F.lit(0)
+        v = value.cast("double")
+        step = max(1, int(len(self.points) ** 0.5))
+        blocks = [self.points[i:i + step] for i in range(0, len(self.points), step)]
+        lasts = F.array(*[F.lit(float(b[-1])) for b in blocks])
+        nested = F.array(*[F.array(*[F.lit(float(p)) for p in b]) for b in blocks])
+        block = F.size(F.filter(lasts, lambda p: p < v))
+        inside = F.try_element_at(nested, block + 1)
+        below = F.coalesce(F.size(F.filter(inside, lambda p: p < v)), F.lit(0))
+        # beyond the last block every point is below
+        below = F.when(block < len(blocks), below).otherwise(F.lit(len(self.points) - (len(blocks) * step)))
+        on_cut = F.coalesce(F.array_contains(inside, v), F.lit(False)).cast("int")
+        return ((block * step + below) * 2 + on_cut).cast("int")
+
+    def weight(self, position: Column) -> Column:
+        """Weight of the cut point a row sits on; 1 in a gap."""
+        if max(self.weights, default=1) == 1:
+            return F.lit(1)
+        heavy = {2 * i + 1: w for i, w in enumerate(self.weights) if w > 1}
+        table = F.create_map(*[F.lit(x) for pair in heavy.items() for x in pair])
+        return F.coalesce(F.try_element_at(table, position), F.lit(1))
+
+
+def value_cuts(df: DataFrame, columns: list[str], cells: int) -> dict[str, Cuts]:
+    """Approximate quantile cut points per column, all columns in one pass.
+
+    At most ``cells`` numbers per column reach the driver.
+    """
     probabilities = [i / cells for i in range(1, cells)]
     found = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).approxQuantile(
         columns, probabilities, 1.0 / (2 * cells))
-    return {c: sorted(set(points)) for c, points in zip(columns, found)}
-
-
-def _position(value: Column, cuts: list[float]) -> Column:
-    """Ordered cell number: odd for "equal to a cut", even for the gaps between cuts."""
-    if not cuts:
-        return F.lit(0)
-    points = F.array(*[F.lit(float(c)) for c in cuts])
-    v = value.cast("double")
-    below = F.size(F.filter(points, lambda p: p < v))
-    return below * 2 + F.array_contains(points, v).cast("int")
+    return {c: Cuts.of(points) for c, points in zip(columns, found)}
 
 
-def exact_rank(df: DataFrame, value: str, tie: str, out: str, cuts: dict[str, list[float]]) -> DataFrame:
+def exact_rank(df: DataFrame, value: str, tie: str, out: str, cuts: dict[str, Cuts]) -> DataFrame:
     """Add ``out``: the 1-based rank by ``(value, tie)``; ``tie`` is a unique number.
 
-    A value that very many rows share becomes a cell of its own and is split further
-    by the tie key, so one hot value never lands in one task.
+    A value shared by very many rows is a cell of its own and is split further by the
+    tie key, into as many parts as its share of the rows asks for.
     """
-    cell = _position(F.col(value), cuts[value])
-    split = F.when(cell % 2 == 1, _position(F.col(tie), cuts[tie])).otherwise(0)
-    placed = df.withColumns({"__cell": cell, "__split": split})
+    cell = cuts[value].position(F.col(value))
+    parts = cuts[value].weight(F.col("__cell"))
+    slots = 2 * len(cuts[tie].points) + 1
+    split = F.when(parts > 1, F.floor(cuts[tie].position(F.col(tie)) * parts / slots)).otherwise(0).cast("int")
+    placed = df.withColumn("__cell", cell).withColumn("__split", split)
     sizes = placed.groupBy("__cell", "__split").agg(F.count("*").alias("__n"))
-    # one row per cell: at most (2 * cells)^2, a few thousand
+    # one row per cell and part: a few thousand rows at most
     earlier = Window.orderBy("__cell", "__split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "__cell", "__split", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
@@ -60,7 +110,7 @@ def quintile(rank: Column, rows: Column, bins: int = 5) -> Column:
 
 
 def hashed_rank_in_class(df: DataFrame, label: str, keys: list[str], seed: int,
-                         rank: str, size: str, slices: int = 64) -> DataFrame:
+                         rank: str, size: str, slices: int = 1024) -> DataFrame:
     """Add a seeded pseudo-random rank inside each class and the class size.
 
     The hash is cut into equal slices, so even a class with most of the rows is
@@ -90,7 +140,7 @@ def first_per_group(df: DataFrame, group: list[str], order: list[Column]) -> Dat
     return df.withColumn("__rn", rn).filter("__rn = 1").drop("__rn")
 
 
-def exact_quantile(df: DataFrame, value: str, q: float, out: str, cells: int = 64) -> DataFrame:
+def exact_quantile(df: DataFrame, value: str, q: float, out: str) -> DataFrame:
     """One-row frame with the linearly interpolated quantile of an unbounded column.
 
     Equal values collapse to one counted row first, then each cell of distinct values
@@ -98,10 +148,10 @@ def exact_quantile(df: DataFrame, value: str, q: float, out: str, cells: int = 6
     """
     v = F.col(value).cast("double")
     counted = df.select(v.alias("__v")).filter("__v is not null").groupBy("__v").agg(F.count("*").alias("__n"))
-    cuts = value_cuts(counted, ["__v"], cells)["__v"]
-    placed = counted.withColumn("__cell", _position(F.col("__v"), cuts))
+    cuts = value_cuts(counted, ["__v"], cells_for(counted.count()))["__v"]
+    placed = counted.withColumn("__cell", cuts.position(F.col("__v")))
     sizes = placed.groupBy("__cell").agg(F.sum("__n").alias("__size"))
-    ordered = Window.orderBy("__cell")  # at most 2 * cells rows
+    ordered = Window.orderBy("__cell")  # one row per cell
     everything = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = sizes.select(
         "__cell",

@@ -8,14 +8,23 @@ from pyspark.sql import functions as F
 
 def as_of_join(probes: DataFrame, history: DataFrame, by: str, probe_time: str, history_time: str,
                value: str, out: str) -> DataFrame:
-    """Left as-of join of ``probes`` to ``history`` on ``by`` and time.
+    """Left as-of join of ``probes`` to ``history`` on ``by`` and time."""
+    resolved = resolve(probes, history, by, probe_time, history_time, value, out)
+    return probes.join(resolved, [by, probe_time], "left")
+
+
+def resolve(probes: DataFrame, history: DataFrame, by: str, probe_time: str, history_time: str,
+            value: str, out: str) -> DataFrame:
+    """The value in effect for every distinct ``(by, time)`` the probes ask for.
 
     1. Probes shrink to their distinct ``(by, time)`` pairs, so a hot key costs its
        distinct times, not its rows.
     2. Pairs and history are laid on one time line, cut into calendar months. Each
        month is its own window group; the value carried in from earlier months comes
        from a summary of one row per key and month. No group spans a key's whole life.
-    3. The resolved pairs join back to the probes with an equi-join.
+
+    The result joins back to the probes with an equi-join. It has at most one row per
+    key and time, so stored as a table it is often small enough to be broadcast.
     """
     asked = probes.select(by, F.col(probe_time).alias("__t")).distinct()
     asked = asked.select(by, "__t", F.lit(1).alias("__side"), F.lit(None).cast(dict(history.dtypes)[value]).alias("__v"))
@@ -27,18 +36,21 @@ def as_of_join(probes: DataFrame, history: DataFrame, by: str, probe_time: str,
     carried = summary.select(by, "__month", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
 
     inside = Window.partitionBy(by, "__month").orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    resolved = (
+    return (
         line.withColumn("__here", F.last("__v", ignorenulls=True).over(inside))
         .filter("__side = 1")
         .join(carried, [by, "__month"])
         .select(by, F.col("__t").alias(probe_time), F.coalesce("__here", "__carry").alias(out))
     )
-    return probes.join(resolved, [by, probe_time], "left")
 
 
-def price_in_effect(lines: DataFrame, history: DataFrame, menu_items: DataFrame) -> DataFrame:
+def resolved_prices(lines: DataFrame, history: DataFrame) -> DataFrame:
+    return resolve(lines, history, "item_id", "ship_date", "effective_date", "price", "history_price")
+
+
+def price_in_effect(lines: DataFrame, resolved: DataFrame, menu_items: DataFrame) -> DataFrame:
     """Price valid on each line's date; items without earlier history use the base price."""
-    matched = as_of_join(lines, history, "item_id", "ship_date", "effective_date", "price", "history_price")
+    matched = lines.join(resolved, ["item_id", "ship_date"], "left")
     base = menu_items.select("item_id", "base_price")
     return matched.join(base, "item_id", "left").withColumn(
         "price_in_effect", F.coalesce(F.col("history_price"), F.col("base_price")))

@@ -11,9 +11,11 @@ from ladle.functions import scalars as S
 BLOCK = 64  # items per side of one join block of a large basket
 
 
-def baskets(fact: DataFrame, item: str = "item_id") -> DataFrame:
-    """Distinct items per order."""
-    return fact.select("order_id", F.col(item).alias("item")).distinct()
+def baskets(lines: DataFrame, item: str = "item_id", distinct: bool = False) -> DataFrame:
+    """Distinct items per order. Rows that are already one per order and item
+    (``distinct=True``) need no shuffle for it."""
+    picked = lines.select("order_id", F.col(item).alias("item"))
+    return picked if distinct else picked.distinct()
 
 
 def item_support(basket: DataFrame) -> DataFrame:
@@ -81,18 +83,19 @@ def chosen_floor(metrics: DataFrame, cfg: Config) -> DataFrame:
     return counts.select(pick.alias("support_floor"))
 
 
-def all_metrics(fact: DataFrame, orders: DataFrame, item: str, cfg: Config) -> DataFrame:
-    basket = baskets(fact, item)
+def all_metrics(basket: DataFrame, orders: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """Metrics of every pair that can reach the lowest support floor."""
     support = item_support(basket)
     total = basket_count(orders)
     kept = frequent_baskets(basket, support, total, support_floors(cfg)[-1])
     return pair_metrics(pair_counts(kept), support, total)
 
 
-def rules(fact: DataFrame, orders: DataFrame, names: DataFrame, item: str = "item_id",
-          cfg: Config = Config()) -> DataFrame:
-    """Top rules by lift above the adaptive support floor. ``names`` has ``item, name``."""
-    metrics = all_metrics(fact, orders, item, cfg)
+def rules(metrics: DataFrame, names: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """Top rules by lift above the adaptive support floor. ``names`` has ``item, name``.
+
+    ``metrics`` is read twice (floor, then rules), so pass a stored table for big data.
+    """
     kept = S.as_columns(metrics, chosen_floor(metrics, cfg)).filter("support >= support_floor")
     left = names.select(F.col("item").alias("a_id"), F.col("name").alias("__a"))
     right = names.select(F.col("item").alias("b_id"), F.col("name").alias("__b"))

@@ -14,10 +14,14 @@ from ladle import config as C
 from ladle.functions import scalars as S
 
 LINE_KEY = ["order_id", "item_id", "quantity", "unit_price", "discount_pct", "line_total"]
+LINE_NUMBER = "order_item_id"
 
 
 def drop_duplicate_lines(lines: DataFrame, key: list[str] | None = None) -> DataFrame:
-    return lines.dropDuplicates(key or LINE_KEY)
+    """Distinct lines. The running line number is not part of a line's identity, so by
+    default it is left out; a ``key`` keeps all columns and compares only those named.
+    """
+    return lines.dropDuplicates(key) if key else lines.drop(LINE_NUMBER).distinct()
 
 
 def known_items(lines: DataFrame, menu_items: DataFrame) -> DataFrame:
@@ -40,14 +44,14 @@ def clean_order_items(lines: DataFrame, menu_items: DataFrame, price_policy: str
     return (
         checked.withColumn("unit_price", price.cast(kind))
         .withColumn("line_total", S.line_amount(F.col("quantity"), F.col("unit_price"), F.col("discount_pct")))
-        .select(*lines.columns)
+        .select(*good.columns)
     )
 
 
 def quarantined_items(lines: DataFrame, menu_items: DataFrame, dedup_key: list[str] | None = None) -> DataFrame:
     """Lines set aside because they name an item that does not exist."""
     good = drop_duplicate_lines(lines, dedup_key).filter("quantity > 0")
-    return good.join(menu_items.select("item_id"), "item_id", "left_anti").select(*lines.columns)
+    return good.join(menu_items.select("item_id"), "item_id", "left_anti").select(*good.columns)
 
 
 def valid_stars() -> Column:

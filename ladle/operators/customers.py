@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ladle import config as C
 from ladle.config import Config
 from ladle.functions import scalars as S
-from ladle.functions.ranking import exact_rank, first_per_group, quintile, value_cuts
+from ladle.functions.ranking import cells_for, exact_rank, first_per_group, quintile, value_cuts
 
 
 def customer_features(fact: DataFrame, orders: DataFrame, analysis_end: Column) -> DataFrame:
@@ -39,21 +39,21 @@ def customer_features(fact: DataFrame, orders: DataFrame, analysis_end: Column)
     )
 
 
-def rfm_scores(customers: DataFrame, cells: int = 64) -> DataFrame:
+def rfm_scores(customers: DataFrame) -> DataFrame:
     """Scores 1..5 for recency (reversed), frequency and spend, ranked first-come by id."""
     numeric = dict(customers.dtypes)["customer_id"] != "string"
     tie = "customer_id" if numeric else "__tie"
     df = customers if numeric else customers.withColumn("__tie", F.xxhash64("customer_id"))
     measures = ["recency", "frequency", "monetary"]
-    cuts = value_cuts(df, measures + [tie], cells)
+    rows = df.count()
+    cuts = value_cuts(df, measures + [tie], cells_for(rows))
     for measure in measures:
         df = exact_rank(df, measure, tie, f"__{measure}", cuts)
-    df = S.as_columns(df, customers.agg(F.count("*").alias("__rows")))
-    rows = F.col("__rows")
+    n = F.lit(rows)
     scored = df.withColumns({
-        "R": F.lit(6) - quintile(F.col("__recency"), rows),
-        "F": quintile(F.col("__frequency"), rows),
-        "M": quintile(F.col("__monetary"), rows),
+        "R": F.lit(6) - quintile(F.col("__recency"), n),
+        "F": quintile(F.col("__frequency"), n),
+        "M": quintile(F.col("__monetary"), n),
     })
     mean = (F.col("R") + F.col("F") + F.col("M")) / 3
     return scored.withColumn("rfm_score", F.round(mean).cast("int")).select(

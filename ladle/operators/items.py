@@ -12,16 +12,19 @@ from ladle.config import Config
 from ladle.functions import scalars as S
 
 
-def economics(fact: DataFrame) -> DataFrame:
-    """Volume and money per item, with margin and promotion dependency."""
-    return fact.groupBy("item_id").agg(
+def economics(order_items: DataFrame) -> DataFrame:
+    """Volume and money per item, with margin and promotion dependency.
+
+    ``order_items`` has one row per order and item (``fact.order_item_facts``).
+    """
+    return order_items.groupBy("item_id").agg(
         F.sum("quantity").alias("qty"),
         F.sum("revenue").cast(S.MONEY).alias("revenue"),
         F.sum("cost").cast(S.MONEY).alias("cost"),
         F.sum("profit").cast(S.MONEY).alias("profit"),
-        F.countDistinct("order_id").alias("orders"),
-        F.count_if("has_promo").alias("promo_lines"),
-        F.count("*").alias("lines"),
+        F.count("*").alias("orders"),
+        F.sum("promo_lines").alias("promo_lines"),
+        F.sum("lines").alias("lines"),
     ).withColumns({
         "margin": S.ratio(F.col("revenue") - F.col("cost"), F.col("revenue")),
         "promo_dependency": S.half_even(S.ratio(F.col("promo_lines"), F.col("lines")) * 100, 1),
@@ -46,17 +49,17 @@ def item_waste(inventory: DataFrame, wastage: DataFrame) -> DataFrame:
         "wastage_pct", S.half_even(S.ratio(F.col("wasted"), F.col("prepared")) * 100, 1))
 
 
-def repeat_share(fact: DataFrame) -> DataFrame:
+def repeat_share(order_items: DataFrame) -> DataFrame:
     """Share of an item's buyers with more than one order of it; all guests are one buyer."""
-    buyers = fact.groupBy("item_id", "customer_id").agg(F.countDistinct("order_id").alias("n"))
+    buyers = order_items.groupBy("item_id", "customer_id").agg(F.count("*").alias("n"))
     return buyers.groupBy("item_id").agg(
         S.half_even(F.avg((F.col("n") > 1).cast("int")) * 100, 0).alias("repeat_pct"))
 
 
-def trend(fact: DataFrame) -> DataFrame:
+def trend(order_items: DataFrame) -> DataFrame:
     """Change of quantity from the first to the last third of the date window, in percent."""
-    daily = fact.groupBy("item_id", "order_date").agg(F.sum("quantity").alias("q"))
-    span = fact.agg(F.min("order_date").alias("d0"), F.max("order_date").alias("d1"))
+    daily = order_items.groupBy("item_id", "order_date").agg(F.sum("quantity").alias("q"))
+    span = order_items.agg(F.min("order_date").alias("d0"), F.max("order_date").alias("d1"))
     dated = S.as_columns(daily, span)
     days = F.date_diff("d1", "d0")
     early = F.date_diff("order_date", "d0") * 3 <= days
@@ -67,17 +70,17 @@ def trend(fact: DataFrame) -> DataFrame:
         "trend", S.half_even(S.ratio(F.col("late") - F.col("early"), F.col("early")) * 100, 0))
 
 
-def item_features(fact: DataFrame, ratings: DataFrame, wastage: DataFrame, inventory: DataFrame,
+def item_features(order_items: DataFrame, ratings: DataFrame, wastage: DataFrame, inventory: DataFrame,
                   menu_items: DataFrame, cfg: Config = Config()) -> DataFrame:
     """All item-level features, one row per sold item."""
     parts = [
         rating_summary(ratings),
         item_waste(inventory, wastage),
-        repeat_share(fact),
-        trend(fact).select("item_id", "trend"),
+        repeat_share(order_items),
+        trend(order_items).select("item_id", "trend"),
         menu_items.select("item_id", "name", "category_id", "base_price", "food_cost"),
     ]
-    joined = reduce(lambda a, b: a.join(b, "item_id", "left"), parts, economics(fact))
+    joined = reduce(lambda a, b: a.join(b, "item_id", "left"), parts, economics(order_items))
     return joined.fillna({
         "rating": cfg.default_rating, "rating_count": 0, "wastage_pct": 0.0,
         "repeat_pct": 0.0, "trend": 0.0, "promo_dependency": 0.0})
@@ -135,13 +138,13 @@ def profitability(classified: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 # -- item x outlet cells ----------------------------------------------------
-def cell_economics(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("item_id", "location_id").agg(
+def cell_economics(order_items: DataFrame) -> DataFrame:
+    return order_items.groupBy("item_id", "location_id").agg(
         F.sum("quantity").alias("qty"),
         F.sum("revenue").cast(S.MONEY).alias("revenue"),
         F.sum("profit").cast(S.MONEY).alias("profit"),
-        F.count("*").alias("lines"),
-        F.count_if("has_promo").alias("promo_lines"),
+        F.sum("lines").alias("lines"),
+        F.sum("promo_lines").alias("promo_lines"),
     ).withColumns({
         "margin": S.ratio(F.col("profit"), F.col("revenue")),
         "promo_dep": S.ratio(F.col("promo_lines"), F.col("lines")) * 100,
@@ -176,12 +179,12 @@ def local_classes(cells: DataFrame, cfg: Config = Config()) -> DataFrame:
 MODEL_FEATURES = ["qty", "revenue", "margin", "rating", "repeat", "wastage", "promo_dep", "trend"]
 
 
-def model_samples(fact: DataFrame, menu: DataFrame, inventory: DataFrame, wastage: DataFrame,
+def model_samples(order_items: DataFrame, menu: DataFrame, inventory: DataFrame, wastage: DataFrame,
                   cfg: Config = Config()) -> DataFrame:
     """One row per item and outlet with the model features and the local class."""
     item_level = menu.select("item_id", "name", "rating", F.col("repeat_pct").alias("repeat"), "trend")
     cells = (
-        cell_economics(fact)
+        cell_economics(order_items)
         .join(cell_waste(inventory, wastage), ["item_id", "location_id"], "left")
         .fillna({"wastage": 0.0})
         .join(item_level, "item_id", "left")

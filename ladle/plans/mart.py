@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.config import Config
-from ladle.operators import asof, cleaning, customers, fact, items, ml
+from ladle.operators import asof, basket, cleaning, customers, fact, items, ml
 from ladle.sources.star import StarTables
 
 
@@ -76,11 +76,12 @@ class Mart:
 
     @cached_property
     def raw_orders(self) -> DataFrame:
-        return self.star.orders()
+        return self.keep("source_orders", self.star.orders())
 
     @cached_property
     def raw_lines(self) -> DataFrame:
-        return self.star.order_items()
+        """Order lines with their item: read by the fact, stock and price tables."""
+        return self.keep("source_lines", self.star.order_items())
 
     @cached_property
     def raw_ratings(self) -> DataFrame:
@@ -111,8 +112,12 @@ class Mart:
     def price_probes(self) -> DataFrame:
         return self.raw_lines.filter("line_status = 'O'").select("order_id", "line_no", "item_id", "ship_date")
 
+    @cached_property
+    def resolved_prices(self) -> DataFrame:
+        return self.keep("resolved_prices", asof.resolved_prices(self.price_probes, self.pricing_history))
+
     def priced_lines(self) -> DataFrame:
-        return asof.price_in_effect(self.price_probes, self.pricing_history, self.menu_items)
+        return asof.price_in_effect(self.price_probes, self.resolved_prices, self.menu_items)
 
     # -- spoiled copies -----------------------------------------------------
     @property
@@ -153,10 +158,19 @@ class Mart:
     def orders(self) -> DataFrame:
         return self.keep("fact_orders", fact.order_facts(self.fact))
 
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return self.keep("fact_order_items", fact.order_item_facts(self.fact))
+
+    @cached_property
+    def pair_metrics(self) -> DataFrame:
+        return self.keep("pair_metrics", basket.all_metrics(
+            basket.baskets(self.order_items, distinct=True), self.orders, self.cfg))
+
     @cached_property
     def features(self) -> DataFrame:
         return self.keep("item_features", items.item_features(
-            self.fact, self.ratings, self.wastage, self.inventory, self.menu_items, self.cfg))
+            self.order_items, self.ratings, self.wastage, self.inventory, self.menu_items, self.cfg))
 
     @cached_property
     def menu(self) -> DataFrame:
@@ -165,12 +179,12 @@ class Mart:
     @cached_property
     def cells(self) -> DataFrame:
         return self.keep("item_outlet_cells", items.model_samples(
-            self.fact, self.menu, self.inventory, self.wastage, self.cfg))
+            self.order_items, self.menu, self.inventory, self.wastage, self.cfg))
 
     @cached_property
     def customers(self) -> DataFrame:
         end = self.orders.agg(F.max("order_date")).scalar()
-        return self.keep("customer_features", customers.customer_features(self.fact, self.orders, end))
+        return self.keep("customer_features", customers.customer_features(self.order_items, self.orders, end))
 
     @cached_property
     def segments(self) -> DataFrame:

@@ -218,14 +218,14 @@ query(
 
 # -- items ------------------------------------------------------------------
 query(
-    "item_economics", "M1 M2", lambda m: rounded(items.economics(m.fact)),
+    "item_economics", "M1 M2", lambda m: rounded(items.economics(m.order_items)),
     "SELECT item_id, qty, revenue, cost, profit, orders, promo_lines, lines, round(margin, 6) AS margin, "
     "promo_dependency FROM economics")
 query("item_ratings", "M3", lambda m: items.rating_summary(m.ratings).filter("item_id is not null"),
       "SELECT * FROM rating_summary WHERE item_id IS NOT NULL")
 query("item_waste", "M4", lambda m: items.item_waste(m.inventory, m.wastage), "SELECT * FROM item_waste")
-query("item_repeat", "M5", lambda m: items.repeat_share(m.fact), "SELECT * FROM repeat_share")
-query("item_trend", "M6", lambda m: items.trend(m.fact), "SELECT * FROM item_trend")
+query("item_repeat", "M5", lambda m: items.repeat_share(m.order_items), "SELECT * FROM repeat_share")
+query("item_trend", "M6", lambda m: items.trend(m.order_items), "SELECT * FROM item_trend")
 query(
     "item_features", "M7 J13", lambda m: rounded(m.features),
     "SELECT * REPLACE (round(margin, 6) AS margin) FROM features")
@@ -244,7 +244,7 @@ query(
     """SELECT item_id, name, category_name AS category, qty, revenue, cost, profit, wastage_pct, menu_class,
               round_even(margin * 100, 1) AS margin_pct FROM menu LEFT JOIN categories USING (category_id)""")
 query(
-    "cell_economics", "M13", lambda m: rounded(items.cell_economics(m.fact)),
+    "cell_economics", "M13", lambda m: rounded(items.cell_economics(m.order_items)),
     "SELECT * REPLACE (round(margin, 6) AS margin, round(promo_dep, 6) AS promo_dep) FROM cell_economics")
 query(
     "cell_waste", "M14 J4", lambda m: rounded(items.cell_waste(m.inventory, m.wastage)),

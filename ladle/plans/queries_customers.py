@@ -69,9 +69,11 @@ query("order_value_quantiles", "A2 C13",
 # -- market basket ----------------------------------------------------------
 
 
-def _by_brand(m):
-    """Order lines with the brand as the item: 25 items make dense pairs."""
-    return m.fact.select("order_id", F.element_at(F.split("item_id", "/"), 1).alias("brand"))
+def _brand_metrics(m):
+    """Pairs with the brand as the item: 25 items make dense pairs."""
+    brand = F.element_at(F.split("item_id", "/"), 1)
+    lines = m.order_items.select("order_id", brand.alias("brand"))
+    return basket.all_metrics(basket.baskets(lines, "brand"), m.orders, m.cfg)
 
 
 def _brands(m):
@@ -113,21 +115,21 @@ _ITEM = _views("item_id", "SELECT item_id AS item, name FROM menu_items")
 
 
 def _brand_rules(m):
-    return basket.rules(_by_brand(m), m.orders, _brands(m), "brand", m.cfg)
+    return basket.rules(_brand_metrics(m), _brands(m), m.cfg)
 
 
-query("basket_item_support", "B1 B2", lambda m: basket.item_support(basket.baskets(m.fact)),
+query("basket_item_support", "B1 B2", lambda m: basket.item_support(basket.baskets(m.order_items, distinct=True)),
       "SELECT * FROM support", *_ITEM)
 query("basket_count", "B1", lambda m: basket.basket_count(m.orders), "SELECT count(*) AS baskets FROM order_facts")
-query("basket_pair_counts", "B3 J9", lambda m: basket.pair_counts(basket.baskets(m.fact)), "SELECT * FROM pairs", *_ITEM)
+query("basket_pair_counts", "B3 J9", lambda m: basket.pair_counts(basket.baskets(m.order_items, distinct=True)), "SELECT * FROM pairs", *_ITEM)
 query("basket_brand_pairs", "B3 B4",
-      lambda m: rounded(basket.all_metrics(_by_brand(m), m.orders, "brand", m.cfg)),
+      lambda m: rounded(_brand_metrics(m)),
       """SELECT a, b, pair_orders, round(support, 6) AS support, round(confidence, 6) AS confidence,
                 round(lift, 6) AS lift FROM metrics""", *_BRAND)
 query("basket_support_floor", "B5",
-      lambda m: basket.chosen_floor(basket.all_metrics(m.fact, m.orders, "item_id", m.cfg), m.cfg),
+      lambda m: basket.chosen_floor(m.pair_metrics, m.cfg),
       "SELECT CAST(support_floor AS DOUBLE) AS support_floor FROM floor_choice", *_ITEM)
-query("market_basket_rules", "B4 B5 B6", lambda m: basket.rules(m.fact, m.orders, _items(m), "item_id", m.cfg),
+query("market_basket_rules", "B4 B5 B6", lambda m: basket.rules(m.pair_metrics, _items(m), m.cfg),
       "SELECT * FROM rules", *_ITEM)
 query("brand_basket_rules", "B4 B5 B6", _brand_rules, "SELECT * FROM rules", *_BRAND)
 query("bundles", "B7", lambda m: basket.bundles(_brand_rules(m)),

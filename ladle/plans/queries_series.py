@@ -137,7 +137,7 @@ query("forecast_by_location", "T15",
       "by_outlet AS (SELECT location_id, order_date AS date, count(*) AS orders FROM order_facts GROUP BY 1, 2)",
       *_model_views("grp", "by_outlet", "location_id"))
 query("forecast_by_category", "T16",
-      lambda m: series.group_forecasts(series.daily_by_category(m.fact), "category_id", m.cfg),
+      lambda m: series.group_forecasts(series.daily_by_category(m.order_items), "category_id", m.cfg),
       _group_sql("category_id"),
       """by_category AS (SELECT category_id, order_date AS date, count(DISTINCT order_id) AS orders
                          FROM fact GROUP BY 1, 2)""",
