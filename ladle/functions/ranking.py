@@ -78,18 +78,24 @@ def value_cuts(df: DataFrame, columns: list[str], cells: int) -> dict[str, Cuts]
     return {c: Cuts.of(points) for c, points in zip(columns, found)}
 
 
-def exact_rank(df: DataFrame, value: str, tie: str, out: str, cuts: dict[str, Cuts]) -> DataFrame:
+def exact_rank(df: DataFrame, value: str, tie: str, out: str, cuts: dict[str, Cuts],
+               source: DataFrame | None = None) -> DataFrame:
     """Add ``out``: the 1-based rank by ``(value, tie)``; ``tie`` is a unique number.
 
     A value shared by very many rows is a cell of its own and is split further by the
-    tie key, into as many parts as its share of the rows asks for.
+    tie key, into as many parts as its share of the rows asks for. ``source`` may give
+    the same rows in a form that is cheaper to count (when several ranks are chained).
     """
     cell = cuts[value].position(F.col(value))
     parts = cuts[value].weight(F.col("__cell"))
     slots = 2 * len(cuts[tie].points) + 1
     split = F.when(parts > 1, F.floor(cuts[tie].position(F.col(tie)) * parts / slots)).otherwise(0).cast("int")
-    placed = df.withColumn("__cell", cell).withColumn("__split", split)
-    sizes = placed.groupBy("__cell", "__split").agg(F.count("*").alias("__n"))
+
+    def place(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("__cell", cell).withColumn("__split", split)
+
+    placed = place(df)
+    sizes = place((df if source is None else source).select(value, tie)).groupBy("__cell", "__split").agg(F.count("*").alias("__n"))
     # one row per cell and part: a few thousand rows at most
     earlier = Window.orderBy("__cell", "__split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

@@ -47,8 +47,9 @@ def rfm_scores(customers: DataFrame) -> DataFrame:
     measures = ["recency", "frequency", "monetary"]
     rows = df.count()
     cuts = value_cuts(df, measures + [tie], cells_for(rows))
+    source = df
     for measure in measures:
-        df = exact_rank(df, measure, tie, f"__{measure}", cuts)
+        df = exact_rank(df, measure, tie, f"__{measure}", cuts, source)
     n = F.lit(rows)
     scored = df.withColumns({
         "R": F.lit(6) - quintile(F.col("__recency"), n),

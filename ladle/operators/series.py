@@ -161,9 +161,10 @@ def holdout_predictions(series: DataFrame, cfg: Config = Config()) -> DataFrame:
     df, g = _grouped(series.select("date", "orders"), None)
     placed = numbered(df, g)
     tail = F.col("t") >= F.col("n") - cfg.holdout
-    model = fit(placed.filter(~tail), g)
-    train_mean = placed.filter(~tail).groupBy(g).agg(F.avg("orders").alias("flat_mean"))
-    test = placed.filter(tail).join(model, g).join(train_mean, g)
+    train = placed.filter(~tail)
+    model = fit(train, g).select("slope", "intercept", "season")
+    test = S.as_columns(placed.filter(tail), model)
+    test = S.as_columns(test, train.agg(F.avg("orders").alias("flat_mean")))
     return test.select("date", "t", "n", F.col("orders").alias("actual"),
                        predicted(F.col("t"), F.col("date")).alias("predicted"), "flat_mean")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 from datetime import date
 from functools import cached_property, reduce
@@ -95,13 +96,15 @@ def _named_keys(dim: DataFrame, key: str, name: str) -> DataFrame:
 class Slice:
     """Reports over the facts that pass the filters.
 
-    Dates, outlet and channel are plain predicates that reach the scan (the outlet also
+    ``store(name, frame)`` may write the filtered facts once; otherwise use the slice as a
+    context manager to keep them persisted while several reports are taken. Dates, outlet and channel are plain predicates that reach the scan (the outlet also
     prunes partition folders); the other filters are semi-joins against small tables.
     """
 
     def __init__(self, filters: Filters, fact: DataFrame, menu: DataFrame, locations: DataFrame,
                  promotions: DataFrame, segments: DataFrame, wastage: DataFrame, categories: DataFrame,
-                 channels: DataFrame):
+                 channels: DataFrame, store: Callable[[str, DataFrame], DataFrame] | None = None):
+        self._store = store or (lambda name, df: df)
         self.filters = filters
         self.menu = menu
         self.locations = locations
@@ -127,7 +130,7 @@ class Slice:
         if p.segment is not None:
             chosen = self.segments.filter(F.col("segment") == p.segment).select("customer_id")
             df = df.join(chosen, "customer_id", "left_semi")
-        return df
+        return self._store("fact", df)
 
     @property
     def _items(self) -> DataFrame:
@@ -135,7 +138,7 @@ class Slice:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return facts.order_facts(self.fact)
+        return self._store("orders", facts.order_facts(self.fact))
 
     @cached_property
     def wastage(self) -> DataFrame:

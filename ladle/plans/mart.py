@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.config import Config
-from ladle.operators import asof, basket, cleaning, customers, fact, items, ml
+from ladle.operators import asof, basket, cleaning, customers, fact, items, ml, series
 from ladle.sources.star import StarTables
 
 
@@ -52,11 +52,18 @@ class Mart:
         self.spark = spark
         self.cfg = cfg or Config()
         self.star = StarTables(spark, directory)
+        self._objects: dict[str, object] = {}
         self.root = f"{shared_folder(spark)}/ladle-{uuid.uuid4().hex[:12]}"
 
     def keep(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         return store(df, f"{self.root}/{name}", partition_by)
 
+    def remember(self, name: str, make):
+        """An object built once per mart."""
+        if name not in self._objects:
+            self._objects[name] = make()
+        return self._objects[name]
+
     # -- source tables ------------------------------------------------------
     @cached_property
     def menu_items(self) -> DataFrame:
@@ -85,7 +92,7 @@ class Mart:
 
     @cached_property
     def raw_ratings(self) -> DataFrame:
-        return self.star.ratings(self.menu_items)
+        return self.keep("source_ratings", self.star.ratings(self.menu_items))
 
     @cached_property
     def stock_daily(self) -> DataFrame:
@@ -162,11 +169,24 @@ class Mart:
     def order_items(self) -> DataFrame:
         return self.keep("fact_order_items", fact.order_item_facts(self.fact))
 
+    @cached_property
+    def daily(self) -> DataFrame:
+        """One row per calendar day."""
+        return self.keep("daily_series", series.daily(self.orders))
+
     @cached_property
     def pair_metrics(self) -> DataFrame:
         return self.keep("pair_metrics", basket.all_metrics(
             basket.baskets(self.order_items, distinct=True), self.orders, self.cfg))
 
+    @cached_property
+    def brand_pair_metrics(self) -> DataFrame:
+        """Pairs with the brand as the item: few items, dense pairs."""
+        brand = F.element_at(F.split("item_id", "/"), 1)
+        lines = self.order_items.select("order_id", brand.alias("brand"))
+        return self.keep("brand_pair_metrics", basket.all_metrics(
+            basket.baskets(lines, "brand"), self.orders, self.cfg))
+
     @cached_property
     def features(self) -> DataFrame:
         return self.keep("item_features", items.item_features(

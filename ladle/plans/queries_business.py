@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.functions import scalars as S
@@ -41,7 +43,7 @@ def _delta_sql(v, view="halves"):
 
 
 query(
-    "kpi_deltas", "K2 T3 T2", lambda m: kpis.kpi_deltas(series.daily(m.orders), series.waste_by_date(m.wastage)),
+    "kpi_deltas", "K2 T3 T2", lambda m: kpis.kpi_deltas(m.daily, series.waste_by_date(m.wastage)),
     f"""SELECT d.*, w.* FROM (SELECT {_delta_sql('revenue')}, {_delta_sql('orders')}, {_delta_sql('profit')} FROM halves) d,
         (SELECT {_delta_sql('waste')} FROM waste_halves) w""", _HALVES,
     """waste_halves AS (SELECT *, row_number() OVER (ORDER BY date) <= count(*) OVER () // 2 AS first_half
@@ -308,29 +310,21 @@ def _bursts_sql(unit, by, rows):
             GROUP BY {by}, date_trunc('{unit}', rating_ts), stars) WHERE n >= 15)"""
 
 
-_TYPED = """typed AS (SELECT r.*, event_type FROM ratings r JOIN events e ON r.rating_id = e.event_id)"""
+def _found(m, unit="day", by="kind"):
+    """Bursts by rating kind and day: no item reaches the burst size within an hour here."""
+    return anomalies.detect(m.orders, m.daily, m.ratings, m.locations, m.cfg, unit, by)
 
 
-def _typed_ratings(m):
-    """Ratings with the event type they came from, a coarser key than the item."""
-    kinds = m.star.raw("events").select(F.col("event_id").alias("rating_id"), "event_type")
-    return m.ratings.join(kinds, "rating_id")
-
-
-def _found(m, unit="day", by="event_type"):
-    return anomalies.detect(m.orders, series.daily(m.orders), _typed_ratings(m), m.locations, m.cfg, unit, by)
-
-
-_FOUND = (_TYPED, _Z, _SPIKES, _DAYS, _COLLAPSE, _OUTLIERS, _bursts_sql("day", "event_type", "typed"),
+_FOUND = (_Z, _SPIKES, _DAYS, _COLLAPSE, _OUTLIERS, _bursts_sql("day", "kind", "ratings"),
           """found AS (SELECT * FROM spikes UNION ALL SELECT * FROM collapses UNION ALL SELECT * FROM outliers
                        UNION ALL SELECT * FROM bursts)""",
           """report AS (SELECT * FROM found
                         ORDER BY list_position(['critical', 'high', 'medium', 'low'], severity), date, type, location, detail
                         LIMIT 8)""")
 
-query("revenue_zscores", "A1", lambda m: rounded(anomalies.revenue_zscores(series.daily(m.orders))),
+query("revenue_zscores", "A1", lambda m: rounded(anomalies.revenue_zscores(m.daily)),
       "SELECT date, revenue, profit, orders, round(z, 6) AS z FROM zscores", _Z)
-query("revenue_spikes", "A1", lambda m: anomalies.revenue_spikes(series.daily(m.orders), m.cfg),
+query("revenue_spikes", "A1", lambda m: anomalies.revenue_spikes(m.daily, m.cfg),
       "SELECT * FROM spikes", _Z, _SPIKES)
 query("margin_collapses", "A2", lambda m: anomalies.margin_collapses(m.orders, m.locations, m.cfg),
       "SELECT * FROM collapses", _DAYS, _COLLAPSE)
@@ -339,8 +333,8 @@ query("rating_groups_per_hour", "A4",
       lambda m: anomalies.rating_burst_groups(m.ratings.filter("item_id is not null"), 1, "hour"),
       """SELECT item_id, date_trunc('hour', rating_ts) AS bin, stars, count(*) AS n FROM ratings
          WHERE item_id IS NOT NULL GROUP BY item_id, date_trunc('hour', rating_ts), stars""")
-query("rating_bursts", "A4", lambda m: anomalies.rating_bursts(_typed_ratings(m), m.cfg, "day", "event_type"),
-      "SELECT * FROM bursts", _TYPED, _bursts_sql("day", "event_type", "typed"))
+query("rating_bursts", "A4", lambda m: anomalies.rating_bursts(m.ratings, m.cfg, "day", "kind"),
+      "SELECT * FROM bursts", _bursts_sql("day", "kind", "ratings"))
 query("anomaly_report", "A5", lambda m: anomalies.anomaly_report(_found(m), m.cfg), "SELECT * FROM report", *_FOUND)
 query("anomaly_counts", "A6", lambda m: anomalies.severity_counts(_found(m)),
       "SELECT severity, count(*) AS anomalies FROM found GROUP BY severity", *_FOUND)
@@ -429,8 +423,10 @@ _WASTE_SLICE = {
 
 
 def _slice(m, which):
-    return slicing.Slice(_CHOSEN[which][0], m.fact, m.menu, m.locations, m.promotions, m.segments, m.wastage,
-                         m.categories, _channels(m))
+    """The slice with its filtered facts stored once for all of its reports."""
+    return m.remember(f"slice_{which}", lambda: slicing.Slice(
+        _CHOSEN[which][0], m.fact, m.menu, m.locations, m.promotions, m.segments, m.wastage, m.categories,
+        _channels(m), store=lambda name, df: m.keep(f"slice_{which}_{name}", df)))
 
 
 def _slice_views(which):
@@ -516,5 +512,6 @@ query("slice_dates_segments", "Q8 J11", lambda m: _slice(m, "dates").segment_mix
          LEFT JOIN segments s ON s.customer_id = b.customer_id AND s.segment = k
          GROUP BY position, k""", *_slice_views("dates"))
 query("active_filters", "Q10",
-      lambda m: m.spark.createDataFrame([(n, f.active) for n, (f, _) in _CHOSEN.items()], "slice string, active int")
-      .join(_slice(m, "dates").meta().select(F.lit("dates").alias("slice"), "lines"), "slice", "left"))
+      lambda m: reduce(DataFrame.unionByName, [
+          _slice(m, w).meta().select(F.lit(w).alias("slice"), F.lit(f.active).alias("active"), "lines")
+          for w, (f, _) in _CHOSEN.items()]))

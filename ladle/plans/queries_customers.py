@@ -69,13 +69,6 @@ query("order_value_quantiles", "A2 C13",
 # -- market basket ----------------------------------------------------------
 
 
-def _brand_metrics(m):
-    """Pairs with the brand as the item: 25 items make dense pairs."""
-    brand = F.element_at(F.split("item_id", "/"), 1)
-    lines = m.order_items.select("order_id", brand.alias("brand"))
-    return basket.all_metrics(basket.baskets(lines, "brand"), m.orders, m.cfg)
-
-
 def _brands(m):
     return m.menu_items.select(F.element_at(F.split("item_id", "/"), 1).alias("item")).distinct().withColumn(
         "name", F.col("item"))
@@ -115,7 +108,7 @@ _ITEM = _views("item_id", "SELECT item_id AS item, name FROM menu_items")
 
 
 def _brand_rules(m):
-    return basket.rules(_brand_metrics(m), _brands(m), m.cfg)
+    return basket.rules(m.brand_pair_metrics, _brands(m), m.cfg)
 
 
 query("basket_item_support", "B1 B2", lambda m: basket.item_support(basket.baskets(m.order_items, distinct=True)),
@@ -123,7 +116,7 @@ query("basket_item_support", "B1 B2", lambda m: basket.item_support(basket.baske
 query("basket_count", "B1", lambda m: basket.basket_count(m.orders), "SELECT count(*) AS baskets FROM order_facts")
 query("basket_pair_counts", "B3 J9", lambda m: basket.pair_counts(basket.baskets(m.order_items, distinct=True)), "SELECT * FROM pairs", *_ITEM)
 query("basket_brand_pairs", "B3 B4",
-      lambda m: rounded(_brand_metrics(m)),
+      lambda m: rounded(m.brand_pair_metrics),
       """SELECT a, b, pair_orders, round(support, 6) AS support, round(confidence, 6) AS confidence,
                 round(lift, 6) AS lift FROM metrics""", *_BRAND)
 query("basket_support_floor", "B5",

@@ -12,7 +12,7 @@ _MARKS = "['9a', '11a', '1p', '3p', '5p', '7p', '9p', '11p']"
 
 
 def _daily(m):
-    return series.daily(m.orders)
+    return m.daily
 
 
 def _votes(m):
@@ -20,7 +20,7 @@ def _votes(m):
     return m.ratings.filter("location_id is not null")
 
 
-query("daily_series", "T1", _daily, "SELECT * FROM daily")
+query("daily_series", "T1", lambda m: series.daily(m.orders), "SELECT * FROM daily")
 query("waste_by_date", "T2", lambda m: series.waste_by_date(m.wastage),
       "SELECT date, CAST(sum(cost) AS DECIMAL(18,2)) AS waste FROM stock GROUP BY date")
 query("moving_average", "D1", lambda m: series.moving_average(_daily(m), "revenue"),

@@ -38,7 +38,7 @@ raw_lines AS (
   FROM lineitem LEFT JOIN part ON l_partkey = p_partkey),
 raw_ratings AS (
   SELECT event_id AS rating_id, item_id, user_id AS customer_id, c_nationkey AS location_id,
-         CAST(floor(value) AS INTEGER) % 7 AS stars, ts AS rating_ts
+         CAST(floor(value) AS INTEGER) % 7 AS stars, ts AS rating_ts, event_type AS kind
   FROM events
   LEFT JOIN menu_items ON item_no = CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER)
   LEFT JOIN customer ON user_id = c_custkey),

@@ -134,12 +134,13 @@ class StarTables:
             "user_id",
             (F.floor("value").cast("int") % 7).alias("stars"),
             F.col("ts").alias("rating_ts"),
+            F.col("event_type").alias("kind"),
         )
         return (
             votes.join(menu_items.select("item_no", "item_id"), "item_no", "left")
             .join(homes, "user_id", "left")
             .select("rating_id", "item_id", F.col("user_id").alias("customer_id"),
-                    "location_id", "stars", "rating_ts")
+                    "location_id", "stars", "rating_ts", "kind")
         )
 
     def stock_daily(self, order_items: DataFrame, orders: DataFrame, menu_items: DataFrame) -> DataFrame:
