@@ -7,6 +7,7 @@ Everything a caller may want to change sits in :class:`Config`; operators take a
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 # --- Fixed values -----------------------------------------------------------
 # Labels and texts that appear in report rows and therefore have to be spelled
@@ -41,6 +42,8 @@ class Config:
     """Tunable parameters of every operator."""
 
     seed: int = 20260926
+    # recency is measured back from here; None = the last order date
+    analysis_end: date | None = None
     # four-quadrant classification
     demand_cut: float = 0.55
     profit_cut: float = 0.45

@@ -120,6 +120,7 @@ class Trained:
     train_rows: int
     test_rows: int
     features: list[str]
+    seconds: float = 0.0
 
     def leaderboard(self, like: DataFrame) -> DataFrame:
         return like.sparkSession.createDataFrame(

@@ -1,4 +1,4 @@
-"""Stored intermediate tables shared by the queries of one session.
+"""Source, clean and stored intermediate tables of one data directory.
 
 ``clean -> join`` is the expensive part of every report, so its result is written once
 as Parquet and read back with column pruning and partition pruning. The tables live in
@@ -14,11 +14,12 @@ import time
 import uuid
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.config import Config
 from ladle.operators import asof, basket, cleaning, customers, fact, items, ml, series
+from ladle.sources.readers import read_raw
 from ladle.sources.star import StarTables
 
 
@@ -46,12 +47,16 @@ def store(df: DataFrame, path: str, partition_by: str | None = None) -> DataFram
 
 
 class Mart:
-    """Source tables, clean tables and stored tables for one data directory."""
+    """Clean, joined and aggregated tables over any provider of the source tables.
 
-    def __init__(self, spark: SparkSession, directory: str, cfg: Config | None = None):
+    A subclass supplies ``menu_items``, ``categories``, ``locations``, ``promotions``,
+    ``raw_orders``, ``raw_lines``, ``raw_ratings``, ``inventory``, ``raw_wastage``,
+    ``daily_inventory`` and ``pricing_history``.
+    """
+
+    def __init__(self, spark: SparkSession, cfg: Config | None = None):
         self.spark = spark
         self.cfg = cfg or Config()
-        self.star = StarTables(spark, directory)
         self._objects: dict[str, object] = {}
         self.root = f"{shared_folder(spark)}/ladle-{uuid.uuid4().hex[:12]}"
 
@@ -64,95 +69,27 @@ class Mart:
             self._objects[name] = make()
         return self._objects[name]
 
-    # -- source tables ------------------------------------------------------
-    @cached_property
-    def menu_items(self) -> DataFrame:
-        return self.keep("menu_items", self.star.menu_items())
-
-    @cached_property
-    def categories(self) -> DataFrame:
-        return self.menu_items.select("category_id", F.initcap("category_id").alias("category_name")).distinct()
-
-    @cached_property
-    def locations(self) -> DataFrame:
-        return self.star.locations()
-
-    @cached_property
-    def promotions(self) -> DataFrame:
-        return self.keep("promotions", self.star.promotions())
-
-    @cached_property
-    def raw_orders(self) -> DataFrame:
-        return self.keep("source_orders", self.star.orders())
-
-    @cached_property
-    def raw_lines(self) -> DataFrame:
-        """Order lines with their item: read by the fact, stock and price tables."""
-        return self.keep("source_lines", self.star.order_items())
-
-    @cached_property
-    def raw_ratings(self) -> DataFrame:
-        return self.keep("source_ratings", self.star.ratings(self.menu_items))
-
-    @cached_property
-    def stock_daily(self) -> DataFrame:
-        return self.keep("stock_daily", self.star.stock_daily(self.raw_lines, self.raw_orders, self.menu_items))
-
-    @cached_property
-    def stock(self) -> DataFrame:
-        """Weekly inventory and wastage, the detail the reports work on."""
-        return self.keep("stock_weekly", self.star.stock_weekly(self.stock_daily))
-
-    @property
-    def inventory(self) -> DataFrame:
-        return self.stock.select("item_id", "location_id", "date", "prepared_qty", "consumed_qty")
-
-    @property
-    def wastage(self) -> DataFrame:
-        return cleaning.clean_wastage(self.stock.select("item_id", "location_id", "date", "wasted_qty", "cost"))
-
-    @cached_property
-    def pricing_history(self) -> DataFrame:
-        return self.keep("pricing_history", self.star.pricing_history(self.raw_lines))
-
-    @property
-    def price_probes(self) -> DataFrame:
-        return self.raw_lines.filter("line_status = 'O'").select("order_id", "line_no", "item_id", "ship_date")
-
-    @cached_property
-    def resolved_prices(self) -> DataFrame:
-        return self.keep("resolved_prices", asof.resolved_prices(self.price_probes, self.pricing_history))
-
-    def priced_lines(self) -> DataFrame:
-        return asof.price_in_effect(self.price_probes, self.resolved_prices, self.menu_items)
-
-    # -- spoiled copies -----------------------------------------------------
-    @property
-    def dirty_lines(self) -> DataFrame:
-        return self.star.dirty_order_items(self.raw_lines)
-
-    @property
-    def dirty_orders(self) -> DataFrame:
-        return self.star.dirty_orders(self.raw_orders)
-
-    @property
-    def dirty_wastage(self) -> DataFrame:
-        return self.star.dirty_wastage(self.stock)
-
     # -- clean tables -------------------------------------------------------
     @property
     def clean_lines(self) -> DataFrame:
-        lines = self.raw_lines.drop("line_no", "ship_date", "return_flag", "line_status")
-        return cleaning.clean_order_items(lines, self.menu_items)
+        return cleaning.clean_order_items(self.raw_lines, self.menu_items)
 
     @property
     def clean_orders(self) -> DataFrame:
         return cleaning.clean_orders(self.raw_orders)
 
-    @cached_property
+    @property
     def ratings(self) -> DataFrame:
         return cleaning.clean_ratings(self.raw_ratings)
 
+    @property
+    def wastage(self) -> DataFrame:
+        return cleaning.clean_wastage(self.raw_wastage)
+
+    @property
+    def channels(self) -> DataFrame:
+        return self.raw_orders.select("channel").distinct()
+
     # -- stored facts -------------------------------------------------------
     def lazy_fact(self) -> DataFrame:
         return fact.build_fact(self.clean_lines, self.clean_orders, self.menu_items)
@@ -174,19 +111,12 @@ class Mart:
         """One row per calendar day."""
         return self.keep("daily_series", series.daily(self.orders))
 
+    # -- stored reports that other reports read -----------------------------
     @cached_property
     def pair_metrics(self) -> DataFrame:
         return self.keep("pair_metrics", basket.all_metrics(
             basket.baskets(self.order_items, distinct=True), self.orders, self.cfg))
 
-    @cached_property
-    def brand_pair_metrics(self) -> DataFrame:
-        """Pairs with the brand as the item: few items, dense pairs."""
-        brand = F.element_at(F.split("item_id", "/"), 1)
-        lines = self.order_items.select("order_id", brand.alias("brand"))
-        return self.keep("brand_pair_metrics", basket.all_metrics(
-            basket.baskets(lines, "brand"), self.orders, self.cfg))
-
     @cached_property
     def features(self) -> DataFrame:
         return self.keep("item_features", items.item_features(
@@ -201,28 +131,37 @@ class Mart:
         return self.keep("item_outlet_cells", items.model_samples(
             self.order_items, self.menu, self.inventory, self.wastage, self.cfg))
 
+    @property
+    def analysis_end(self) -> Column:
+        if self.cfg.analysis_end is not None:
+            return F.lit(self.cfg.analysis_end)
+        return self.orders.agg(F.max("order_date")).scalar()
+
     @cached_property
     def customers(self) -> DataFrame:
-        end = self.orders.agg(F.max("order_date")).scalar()
-        return self.keep("customer_features", customers.customer_features(self.order_items, self.orders, end))
+        return self.keep("customer_features", customers.customer_features(
+            self.order_items, self.orders, self.analysis_end))
 
     @cached_property
     def segments(self) -> DataFrame:
         """Customer features with the rule-based segment."""
-        return self.keep("customer_segments", customers.rule_segments(self.customers))
+        return self.keep("rule_segments", customers.rule_segments(self.customers))
 
     # -- models -------------------------------------------------------------
     @cached_property
     def first_family(self) -> ml.Trained:
         started = time.time()
         trained = ml.train_family(self.cells, ml.first_family(self.cfg), ml.FIRST_FEATURES, self.cfg)
-        self.first_seconds = round(time.time() - started, 1)
+        trained.seconds = round(time.time() - started, 1)
         return trained
 
     @cached_property
     def second_family(self) -> ml.Trained:
+        started = time.time()
         rows = self.cells.count()
-        return ml.train_family(self.cells, ml.second_family(rows, self.cfg), ml.SECOND_FEATURES, self.cfg)
+        trained = ml.train_family(self.cells, ml.second_family(rows, self.cfg), ml.SECOND_FEATURES, self.cfg)
+        trained.seconds = round(time.time() - started, 1)
+        return trained
 
     @cached_property
     def first_predictions(self) -> DataFrame:
@@ -254,12 +193,126 @@ class Mart:
         return customers.segment_profile(self.cluster_segments, self.orders, self.churn_scores)
 
 
-_MARTS: dict[tuple[str, str], Mart] = {}
+class StarMart(Mart):
+    """Mart over the star-schema Parquet tables, with spoiled copies for the cleaning rules."""
+
+    def __init__(self, spark: SparkSession, directory: str, cfg: Config | None = None):
+        super().__init__(spark, cfg)
+        self.star = StarTables(spark, directory)
+
+    @cached_property
+    def menu_items(self) -> DataFrame:
+        return self.keep("menu_items", self.star.menu_items())
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return self.menu_items.select("category_id", F.initcap("category_id").alias("category_name")).distinct()
+
+    @cached_property
+    def locations(self) -> DataFrame:
+        return self.star.locations()
+
+    @cached_property
+    def promotions(self) -> DataFrame:
+        return self.keep("promotions", self.star.promotions())
+
+    @cached_property
+    def raw_orders(self) -> DataFrame:
+        return self.keep("source_orders", self.star.orders())
+
+    @cached_property
+    def shipped_lines(self) -> DataFrame:
+        """Order lines with their item and shipping columns: read by fact, stock and prices."""
+        return self.keep("source_lines", self.star.order_items())
+
+    @property
+    def raw_lines(self) -> DataFrame:
+        return self.shipped_lines.drop("line_no", "ship_date", "return_flag", "line_status")
+
+    @cached_property
+    def raw_ratings(self) -> DataFrame:
+        return self.keep("source_ratings", self.star.ratings(self.menu_items))
+
+    @cached_property
+    def daily_inventory(self) -> DataFrame:
+        return self.keep("stock_daily", self.star.stock_daily(self.shipped_lines, self.raw_orders, self.menu_items))
+
+    @cached_property
+    def stock(self) -> DataFrame:
+        """Weekly inventory and wastage, the detail the reports work on."""
+        return self.keep("stock_weekly", self.star.stock_weekly(self.daily_inventory))
+
+    @property
+    def inventory(self) -> DataFrame:
+        return self.stock.select("item_id", "location_id", "date", "prepared_qty", "consumed_qty")
+
+    @property
+    def raw_wastage(self) -> DataFrame:
+        return self.stock.select("item_id", "location_id", "date", "wasted_qty", "cost")
+
+    @cached_property
+    def pricing_history(self) -> DataFrame:
+        return self.keep("pricing_history", self.star.pricing_history(self.shipped_lines))
+
+    @property
+    def price_probes(self) -> DataFrame:
+        return self.shipped_lines.filter("line_status = 'O'").select("order_id", "line_no", "item_id", "ship_date")
+
+    @cached_property
+    def resolved_prices(self) -> DataFrame:
+        return self.keep("resolved_prices", asof.resolved_prices(self.price_probes, self.pricing_history))
+
+    def priced_lines(self) -> DataFrame:
+        return asof.price_in_effect(self.price_probes, self.resolved_prices, self.menu_items)
+
+    @cached_property
+    def brand_pair_metrics(self) -> DataFrame:
+        """Pairs with the brand as the item: few items, dense pairs."""
+        brand = F.element_at(F.split("item_id", "/"), 1)
+        lines = self.order_items.select("order_id", brand.alias("brand"))
+        return self.keep("brand_pair_metrics", basket.all_metrics(
+            basket.baskets(lines, "brand"), self.orders, self.cfg))
+
+    # -- spoiled copies -----------------------------------------------------
+    @property
+    def dirty_lines(self) -> DataFrame:
+        return self.star.dirty_order_items(self.shipped_lines)
+
+    @property
+    def dirty_orders(self) -> DataFrame:
+        return self.star.dirty_orders(self.raw_orders)
+
+    @property
+    def dirty_wastage(self) -> DataFrame:
+        return self.star.dirty_wastage(self.stock)
+
+
+class FileMart(Mart):
+    """Mart over the eleven source tables kept as CSV or Parquet files in one folder."""
+
+    def __init__(self, spark: SparkSession, folder: str, cfg: Config | None = None, fmt: str = "csv"):
+        super().__init__(spark, cfg)
+        self.tables = read_raw(spark, folder, fmt=fmt)
+
+    menu_items = property(lambda self: self.tables["menu_items"])
+    categories = property(lambda self: self.tables["menu_categories"])
+    locations = property(lambda self: self.tables["locations"])
+    promotions = property(lambda self: self.tables["promotions"])
+    raw_orders = property(lambda self: self.tables["orders"])
+    raw_lines = property(lambda self: self.tables["order_items"])
+    raw_ratings = property(lambda self: self.tables["ratings"])
+    inventory = property(lambda self: self.tables["inventory"])
+    daily_inventory = property(lambda self: self.tables["inventory"])
+    raw_wastage = property(lambda self: self.tables["wastage"])
+    pricing_history = property(lambda self: self.tables["pricing_history"])
+
+
+_MARTS: dict[tuple[str, str], StarMart] = {}
 
 
-def mart_for(spark: SparkSession, directory: str) -> Mart:
+def mart_for(spark: SparkSession, directory: str) -> StarMart:
     """The mart of this session and directory; stored tables are built on first use."""
     key = (spark.sparkContext.applicationId, directory)
     if key not in _MARTS:
-        _MARTS[key] = Mart(spark, directory)
+        _MARTS[key] = StarMart(spark, directory)
     return _MARTS[key]

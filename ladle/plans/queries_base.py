@@ -132,7 +132,7 @@ query(
        WHERE o.location_id IS NOT NULL GROUP BY l.item_id, o.location_id""")
 query(
     "lines_of_completed_orders", "J6",
-    lambda m: m.raw_lines.join(cleaning.completed(m.raw_orders).select("order_id"), "order_id", "left_semi")
+    lambda m: m.shipped_lines.join(cleaning.completed(m.raw_orders).select("order_id"), "order_id", "left_semi")
     .groupBy("line_status").agg(F.count("*").alias("order_lines")),
     """SELECT line_status, count(*) AS order_lines FROM raw_lines
        WHERE order_id IN (SELECT order_id FROM raw_orders WHERE status = 'completed') GROUP BY line_status""")
@@ -151,28 +151,26 @@ query(
                                FROM raw_lines GROUP BY order_id) t ON o.order_id = t.order_id""")
 
 # -- scalar functions -------------------------------------------------------
-_D = F.col("order_ts")
 query(
     "calendar_columns", "S1 S2 S3 S6 S7 S8",
     lambda m: m.raw_orders.select(
-        "order_id", F.to_date(_D).alias("order_date"), F.hour(_D).alias("hour"), S.dow(_D).alias("dow"),
-        S.is_fri_sun(_D).alias("is_fri_sun"), S.is_sat_sun(_D).alias("is_sat_sun"), S.month_label(_D).alias("month"),
-        F.weekofyear(_D).alias("iso_week"), S.week_start(_D).alias("week_start"), S.week_end(_D).alias("week_end")),
+        "order_id", F.to_date("order_ts").alias("order_date"), F.hour("order_ts").alias("hour"), S.dow(F.col("order_ts")).alias("dow"),
+        S.is_fri_sun(F.col("order_ts")).alias("is_fri_sun"), S.is_sat_sun(F.col("order_ts")).alias("is_sat_sun"), S.month_label("order_ts").alias("month"),
+        F.weekofyear("order_ts").alias("iso_week"), S.week_start(F.col("order_ts")).alias("week_start"), S.week_end(F.col("order_ts")).alias("week_end")),
     """SELECT order_id, CAST(order_ts AS DATE) AS order_date, CAST(hour(order_ts) AS INTEGER) AS hour,
               CAST(isodow(order_ts) - 1 AS INTEGER) AS dow, isodow(order_ts) - 1 >= 4 AS is_fri_sun,
               isodow(order_ts) - 1 >= 5 AS is_sat_sun, strftime(order_ts, '%Y-%m') AS month,
               CAST(week(order_ts) AS INTEGER) AS iso_week, CAST(date_trunc('week', order_ts) AS DATE) AS week_start,
               CAST(date_trunc('week', order_ts) AS DATE) + 6 AS week_end FROM raw_orders""")
-_T = F.col("ts")
 query(
     "clock_columns", "S9 S10 S11 S12 S13 S19",
     lambda m: m.star.raw("events").select(
-        "event_id", S.hour_floor(_T).alias("hour_floor"), S.hour_bucket(F.hour(_T)).alias("bucket"),
+        "event_id", S.hour_floor(F.col("ts")).alias("hour_floor"), S.hour_bucket(F.hour("ts")).alias("bucket"),
         S.band(F.col("value"), [5.0, 20.0], ["small", "middle", "large"]).alias("value_band"),
         F.round(S.clip(F.col("value"), 1.0, 50.0), 4).alias("clipped"),
         F.round(F.log(F.abs("value") + 1), 6).alias("log_value"), F.round(F.sqrt(F.abs("value")), 6).alias("root"),
         S.lenient_timestamp(F.concat(F.substring("props", 1, 1), F.col("event_type"))).isNotNull().alias("parsed"),
-        S.lenient_timestamp(F.date_format(_T, "yyyy-MM-dd HH:mm:ss")).alias("parsed_ts")),
+        S.lenient_timestamp(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("parsed_ts")),
     """SELECT event_id, date_trunc('hour', ts) AS hour_floor,
               CAST(greatest(0, ceil((hour(ts) - 10) / 2.0)) AS INTEGER) AS bucket,
               CASE WHEN value <= 5 THEN 'small' WHEN value <= 20 THEN 'middle' ELSE 'large' END AS value_band,
@@ -182,7 +180,7 @@ query(
               try_strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS parsed_ts FROM events""")
 query(
     "line_arithmetic", "S4 S14 S15 S16 S18",
-    lambda m: m.raw_lines.select(
+    lambda m: m.shipped_lines.select(
         "order_id", "line_no", F.when(F.col("discount_pct") > 5, "deep").otherwise("light").alias("tier"),
         F.coalesce("promotion_id", F.lit("none")).alias("promotion"),
         F.round(S.ratio(F.col("line_total"), F.col("discount_pct")), 4).alias("per_point"),

@@ -19,10 +19,6 @@ _ACTIVITY = """activity AS (
   FROM (SELECT customer_id, count(*) AS n FROM order_facts WHERE NOT is_guest GROUP BY customer_id))"""
 
 
-def _channels(m):
-    return m.raw_orders.select("channel").distinct()
-
-
 query(
     "kpi_row", "K1 W4 C11", lambda m: kpis.kpi_row(m.orders, m.wastage),
     """SELECT t.*, a.*, w.wastage_cost,
@@ -53,7 +49,7 @@ query(
     """SELECT category_name AS category, CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue
        FROM fact JOIN categories USING (category_id) GROUP BY category_name""")
 query(
-    "channel_mix", "K4 J11", lambda m: kpis.channel_mix(m.orders, _channels(m)),
+    "channel_mix", "K4 J11", lambda m: kpis.channel_mix(m.orders, m.channels),
     """SELECT c.channel, count(o.order_id) AS orders FROM (SELECT DISTINCT channel FROM raw_orders) c
        LEFT JOIN order_facts o ON c.channel = o.channel GROUP BY c.channel""")
 query(
@@ -215,8 +211,8 @@ query("over_preparation", "W2", lambda m: rounded(commerce.over_preparation(m.in
       """SELECT item_id, location_id, round(over, 6) AS over, round(prepared, 6) AS prepared,
                 round(volatility, 6) AS volatility, round(over_ratio, 6) AS over_ratio,
                 CASE WHEN over_ratio > 0.3 THEN 'high' ELSE 'med' END AS risk FROM over_prep""", _OVER)
-query("risk_weekday", "W3", lambda m: commerce.risk_weekday(m.stock_daily), "SELECT * FROM risk_days", _RISK_DAY)
-query("waste_risk", "W2 W3 J5", lambda m: commerce.waste_risk(m.inventory, m.stock_daily, m.menu_items, m.locations),
+query("risk_weekday", "W3", lambda m: commerce.risk_weekday(m.daily_inventory), "SELECT * FROM risk_days", _RISK_DAY)
+query("waste_risk", "W2 W3 J5", lambda m: commerce.waste_risk(m.inventory, m.daily_inventory, m.menu_items, m.locations),
       """SELECT item_id, location_id, i.name AS item, l.name AS location, day,
                 CASE WHEN over_ratio > 0.3 THEN 'high' ELSE 'med' END AS risk, round(over_ratio, 4) AS over_ratio
          FROM (SELECT * FROM over_prep ORDER BY over_ratio DESC, item_id, location_id LIMIT 5)
@@ -228,7 +224,7 @@ query("waste_cost_rate", "W4", lambda m: commerce.waste_cost_rate(m.wastage, m.o
          FROM (SELECT CAST(sum(cost) AS DECIMAL(18,2)) AS wastage_cost FROM stock),
               (SELECT sum(revenue) AS rev FROM order_facts)""")
 query("waste_breakdown", "D2",
-      lambda m: commerce.waste_breakdown(m.stock_daily.select("item_id", "location_id", "date", "wasted_qty", "cost"),
+      lambda m: commerce.waste_breakdown(m.daily_inventory.select("item_id", "location_id", "date", "wasted_qty", "cost"),
                                          m.menu_items),
       """SELECT 'category' AS breakdown, category_id AS key, CAST(sum(wasted_qty) AS BIGINT) AS wasted,
                 CAST(sum(cost) AS DECIMAL(18,2)) AS cost FROM stock_daily JOIN menu_items USING (item_id) GROUP BY category_id
@@ -426,7 +422,7 @@ def _slice(m, which):
     """The slice with its filtered facts stored once for all of its reports."""
     return m.remember(f"slice_{which}", lambda: slicing.Slice(
         _CHOSEN[which][0], m.fact, m.menu, m.locations, m.promotions, m.segments, m.wastage, m.categories,
-        _channels(m), store=lambda name, df: m.keep(f"slice_{which}_{name}", df)))
+        m.channels, store=lambda name, df: m.keep(f"slice_{which}_{name}", df)))
 
 
 def _slice_views(which):
@@ -448,7 +444,7 @@ def _slice_views(which):
 
 
 query("filter_options", "Q1",
-      lambda m: slicing.filter_options(m.menu, m.locations, m.categories, m.promotions, _channels(m)),
+      lambda m: slicing.filter_options(m.menu, m.locations, m.categories, m.promotions, m.channels),
       """SELECT 'locations' AS filter, name AS value FROM locations
          UNION ALL SELECT 'categories', category_name FROM categories
          UNION ALL SELECT 'promotions', name FROM promotions

@@ -161,7 +161,7 @@ query("payload_sections", "IO7", _payload)
 
 
 def _metrics(m):
-    doc = ml.metrics_document(m.first_family, m.cells, "Apache Spark MLlib", m.first_seconds)
+    doc = ml.metrics_document(m.first_family, m.cells, "Apache Spark MLlib", m.first_family.seconds)
     doc.write.mode("overwrite").json(f"{m.root}/metrics")
     return m.spark.read.schema(doc.schema).json(f"{m.root}/metrics").select(
         "engine", "selected", "n_samples", F.size("features").alias("features"), F.size("leaderboard").alias("models"))

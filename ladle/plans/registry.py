@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.plans.mart import Mart
+from ladle.plans.mart import StarMart
 from ladle.plans.views import check
 
 
@@ -16,14 +16,14 @@ from ladle.plans.views import check
 class Query:
     name: str
     covers: str
-    run: Callable[[Mart], DataFrame]
+    run: Callable[[StarMart], DataFrame]
     sql: str | None
 
 
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str, covers: str, run: Callable[[Mart], DataFrame], sql: str | None = None, *views: str) -> None:
+def query(name: str, covers: str, run: Callable[[StarMart], DataFrame], sql: str | None = None, *views: str) -> None:
     """Register a query. ``covers`` lists the operator ids of the survey it answers."""
     if name in QUERIES:
         raise ValueError(f"query {name!r} is registered twice")

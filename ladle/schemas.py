@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
-_DDL = {
+SCHEMAS: dict[str, str] = {
     "menu_categories": "category_id string, category_name string",
     "menu_items": "item_id string, name string, category_id string, base_price double, food_cost double",
     "locations": "location_id string, name string, city string",
@@ -22,6 +20,4 @@ _DDL = {
     "wastage": "wastage_id string, item_id string, location_id string, date date, wasted_qty int, "
                "reason string, cost double",
 }
-
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
 TABLES = tuple(SCHEMAS)

@@ -20,8 +20,15 @@ def read_csv(spark: SparkSession, folder: str, name: str, infer: bool = False,
     return df if columns is None else df.select(*columns)
 
 
-def read_raw(spark: SparkSession, folder: str, names=TABLES) -> dict[str, DataFrame]:
-    return {name: read_csv(spark, folder, name) for name in names}
+def read_parquet(spark: SparkSession, folder: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    df = spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return df if columns is None else df.select(*columns)
+
+
+def read_raw(spark: SparkSession, folder: str, names=TABLES, fmt: str = "csv") -> dict[str, DataFrame]:
+    """All source tables, lazily."""
+    read = {"csv": read_csv, "parquet": read_parquet}[fmt]
+    return {name: read(spark, folder, name) for name in names}
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
