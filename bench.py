@@ -80,12 +80,14 @@ def main() -> None:
     timed("stage_save_model", lambda: ml.save_model(chosen.model, f"{mart.root}/bench_model"))
     timed("stage_customers", lambda: mart.segments)
     timed("stage_pairs", lambda: mart.pair_metrics)
+    timed("stage_series", lambda: (mart.daily, mart.outlet_days))
     for name in HEADLINE:
         timed(name, lambda n=name: run(queries[n].run(mart)))
     total = round(time.time() - begin, 2)
-    stages = round(sum(v for k, v in times.items() if k.startswith("stage_")), 2)
-    print(json.dumps({"metric": "batch_and_headline_queries_total", "value": total, "unit": "sec", "queries": times,
-                      "stages_total": stages, "sf": SF_DIR.rsplit("sf", 1)[-1], "cpus": int(CPUS)}))
+    # the batch job: session start, ingest, clean, join, write, features, models
+    job = round(times["start_session"] + sum(v for k, v in times.items() if k.startswith("stage_")), 2)
+    print(json.dumps({"metric": "batch_job_total", "value": job, "unit": "sec", "queries": times,
+                      "with_headline_queries": total, "sf": SF_DIR.rsplit("sf", 1)[-1], "cpus": int(CPUS)}))
     spark.stop()
 
 

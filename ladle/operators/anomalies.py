@@ -37,11 +37,11 @@ def revenue_spikes(daily: DataFrame, cfg: Config = Config()) -> DataFrame:
         F.when(F.abs("z") > cfg.z_high, "high").otherwise("medium"), detail))
 
 
-def margin_collapses(orders: DataFrame, locations: DataFrame, cfg: Config = Config(), rows: int = 2) -> DataFrame:
+def margin_collapses(outlet_days: DataFrame, locations: DataFrame, cfg: Config = Config(), rows: int = 2) -> DataFrame:
     """The worst-margin outlet-days among those with above-median revenue."""
-    days = orders.groupBy("location_id", F.col("order_date").alias("date")).agg(
-        F.sum("revenue").cast("double").alias("rev"), F.sum("profit").cast("double").alias("prof"))
-    base = orders.agg(S.ratio(F.sum("profit"), F.sum("revenue")).alias("base_margin"))
+    days = outlet_days.select("location_id", "date", F.col("revenue").cast("double").alias("rev"),
+                              F.col("profit").cast("double").alias("prof"))
+    base = outlet_days.agg(S.ratio(F.sum("profit"), F.sum("revenue")).alias("base_margin"))
     df = S.as_columns(days, exact_quantile(days, "rev", 0.5, "median_rev")).filter("rev > median_rev")
     worst = df.withColumn("margin", S.ratio(F.col("prof"), F.col("rev"))).orderBy(
         "margin", "location_id", "date").limit(rows)
@@ -88,11 +88,11 @@ def rating_bursts(ratings: DataFrame, cfg: Config = Config(), unit: str = "hour"
         F.lit("Rating cluster"), F.lit("Multiple"), F.to_date("bin"), F.lit("medium"), detail))
 
 
-def detect(orders: DataFrame, daily: DataFrame, ratings: DataFrame, locations: DataFrame,
+def detect(orders: DataFrame, daily: DataFrame, outlet_days: DataFrame, ratings: DataFrame, locations: DataFrame,
            cfg: Config = Config(), unit: str = "hour", by: str = "item_id") -> DataFrame:
     """All detectors together, unlimited."""
     return (revenue_spikes(daily, cfg)
-            .unionByName(margin_collapses(orders, locations, cfg))
+            .unionByName(margin_collapses(outlet_days, locations, cfg))
             .unionByName(order_outliers(orders, cfg))
             .unionByName(rating_bursts(ratings, cfg, unit, by)))
 

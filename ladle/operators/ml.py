@@ -6,6 +6,7 @@ estimators, and what reaches the driver is metric rows and one row per class or
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -27,9 +28,24 @@ from ladle.operators.customers import churn_labels, risk_bands, segment_rule
 FIRST_FEATURES = ["qty", "revenue", "margin", "rating", "wastage", "promo_dep"]
 SECOND_FEATURES = ["qty", "revenue", "margin", "rating", "repeat", "wastage", "promo_dep", "trend"]
 CHURN_FEATURES = ["frequency", "monetary", "categories", "promo_share", "avg_order_value"]
+ROWS_PER_TASK = 20_000  # iterative fits: fewer, fuller tasks when the table is small
 CLUSTER_FEATURES = ["recency", "frequency", "monetary", "categories", "promo_share"]
 
 
+@contextmanager
+def cached(df: DataFrame):
+    """Persist a training table for the iterations of a fit.
+
+    Iterative fits start one job per step, so a small table is read by few tasks; a
+    large one keeps all of its partitions.
+    """
+    kept = df.persist()
+    try:
+        yield kept.coalesce(max(1, kept.count() // ROWS_PER_TASK))
+    finally:
+        kept.unpersist()
+
+
 # -- splits -----------------------------------------------------------------
 def stratified_split(df: DataFrame, label: str, keys: list[str], parts: dict[str, int], seed: int) -> DataFrame:
     """Add ``split``: exact shares per class (``parts`` in percent), reproducible by seed."""
@@ -143,9 +159,8 @@ def train_family(samples: DataFrame, candidates: dict[str, object], features: li
     keys = ["item_id", "location_id"]
     numeric = samples.withColumns({f: F.col(f).cast("double") for f in features})
     prepare = feature_stages(numeric, features, label)
-    ready = prepare.transform(stratified_split(numeric, label, keys, {"train": 70, "test": 30}, cfg.seed)).select(
-        *keys, label, "split", "label", "features").persist()
-    try:
+    split = stratified_split(numeric, label, keys, {"train": 70, "test": 30}, cfg.seed)
+    with cached(prepare.transform(split).select("split", "label", "features")) as ready:
         sizes = {r["split"]: r["n"] for r in ready.groupBy("split").agg(F.count("*").alias("n")).collect()}
         train, test = ready.filter("split = 'train'"), ready.filter("split = 'test'")
         board, fitted = [], {}
@@ -159,8 +174,6 @@ def train_family(samples: DataFrame, candidates: dict[str, object], features: li
         decode = IndexToString(inputCol="prediction", outputCol="predicted", labels=prepare.stages[0].labels)
         model = PipelineModel(stages=[*prepare.stages, fitted[best], decode])
         return Trained(board, model, best, sizes.get("train", 0), sizes.get("test", 0), features)
-    finally:
-        ready.unpersist()
 
 
 def score_cells(samples: DataFrame, model: PipelineModel, features: list[str], label: str = "local_class") -> DataFrame:
@@ -201,12 +214,9 @@ def cluster_customers(customers: DataFrame, k: int = 6, restarts: int = 10, seed
         VectorAssembler(inputCols=[f"__{f}" for f in CLUSTER_FEATURES], outputCol="__raw"),
         StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True)]).fit(numeric)
     ready = prepare.transform(numeric).select(*customers.columns, "features")
-    data = ready.select("features").persist()
-    try:
+    with cached(ready.select("features")) as data:
         runs = [KMeans(k=k, seed=seed + i).fit(data) for i in range(restarts)]
         best = min(runs, key=lambda run: run.summary.trainingCost)
-    finally:
-        data.unpersist()
     return best.transform(ready).withColumnRenamed("prediction", "cluster").drop("features")
 
 
@@ -259,8 +269,8 @@ def train_churn(customers: DataFrame, cfg: Config = Config()) -> ChurnModel:
     """Logistic regression on behaviour without recency, checked on a stratified 30 %."""
     labelled = churn_labels(customers, cfg).withColumns(
         {f"__{f}": F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in CHURN_FEATURES})
-    split = stratified_split(labelled, "churned", ["customer_id"], {"train": 70, "test": 30}, cfg.seed).persist()
-    try:
+    with cached(stratified_split(
+            labelled, "churned", ["customer_id"], {"train": 70, "test": 30}, cfg.seed)) as split:
         prepare = Pipeline(stages=[
             VectorAssembler(inputCols=[f"__{f}" for f in CHURN_FEATURES], outputCol="__raw"),
             StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True)]).fit(split)
@@ -274,8 +284,6 @@ def train_churn(customers: DataFrame, cfg: Config = Config()) -> ChurnModel:
         accuracy, cut = scored.agg(
             F.avg((F.col("prediction") == F.col("churned")).cast("int")), F.max("recency_cut")).first()
         return ChurnModel(PipelineModel(stages=[*prepare.stages, fitted]), accuracy, auc, cut)
-    finally:
-        split.unpersist()
 
 
 def score_churn(customers: DataFrame, churn: ChurnModel, cfg: Config = Config()) -> DataFrame:

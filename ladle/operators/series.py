@@ -242,7 +242,11 @@ def group_forecasts(series: DataFrame, group: str, cfg: Config = Config()) -> Da
 
 
 def daily_by_outlet(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("location_id", F.col("order_date").alias("date")).agg(F.count("*").alias("orders"))
+    """Revenue, profit and orders per outlet and day."""
+    return orders.groupBy("location_id", F.col("order_date").alias("date")).agg(
+        F.sum("revenue").cast(S.MONEY).alias("revenue"),
+        F.sum("profit").cast(S.MONEY).alias("profit"),
+        F.count("*").alias("orders"))
 
 
 def daily_by_category(fact: DataFrame) -> DataFrame:

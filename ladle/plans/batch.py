@@ -19,7 +19,7 @@ def report_frames(m: Mart) -> dict[str, DataFrame]:
     effect = commerce.promotion_effectiveness(m.fact, m.promotions, m.orders, m.cfg)
     waste = commerce.waste_by_item(m.wastage, m.inventory, m.menu_items)
     names = m.menu_items.select(F.col("item_id").alias("item"), "name")
-    found = anomalies.detect(m.orders, m.daily, m.ratings, m.locations, m.cfg)
+    found = anomalies.detect(m.orders, m.daily, m.outlet_days, m.ratings, m.locations, m.cfg)
     comparison = ml.compare_predictions(m.first_predictions, m.second_predictions)
     recs = recommend.recommendations(m.menu, effect, waste, m.segment_report, prices)
     return {
@@ -29,7 +29,7 @@ def report_frames(m: Mart) -> dict[str, DataFrame]:
         "churn_risk": m.churn_report(),
         "market_basket_rules": basket.rules(m.pair_metrics, names, m.cfg),
         "demand_forecast": series.forecast_report(m.daily, m.cfg),
-        "forecast_by_location": series.group_forecasts(series.daily_by_outlet(m.orders), "location_id", m.cfg),
+        "forecast_by_location": series.group_forecasts(m.outlet_days, "location_id", m.cfg),
         "forecast_by_category": series.group_forecasts(
             series.daily_by_category(m.order_items), "category_id", m.cfg),
         "price_sensitivity": prices,

@@ -111,6 +111,11 @@ class Mart:
         """One row per calendar day."""
         return self.keep("daily_series", series.daily(self.orders))
 
+    @cached_property
+    def outlet_days(self) -> DataFrame:
+        """One row per outlet and calendar day."""
+        return self.keep("outlet_days", series.daily_by_outlet(self.orders))
+
     # -- stored reports that other reports read -----------------------------
     @cached_property
     def pair_metrics(self) -> DataFrame:

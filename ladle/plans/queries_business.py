@@ -308,7 +308,7 @@ def _bursts_sql(unit, by, rows):
 
 def _found(m, unit="day", by="kind"):
     """Bursts by rating kind and day: no item reaches the burst size within an hour here."""
-    return anomalies.detect(m.orders, m.daily, m.ratings, m.locations, m.cfg, unit, by)
+    return anomalies.detect(m.orders, m.daily, m.outlet_days, m.ratings, m.locations, m.cfg, unit, by)
 
 
 _FOUND = (_Z, _SPIKES, _DAYS, _COLLAPSE, _OUTLIERS, _bursts_sql("day", "kind", "ratings"),
@@ -322,7 +322,7 @@ query("revenue_zscores", "A1", lambda m: rounded(anomalies.revenue_zscores(m.dai
       "SELECT date, revenue, profit, orders, round(z, 6) AS z FROM zscores", _Z)
 query("revenue_spikes", "A1", lambda m: anomalies.revenue_spikes(m.daily, m.cfg),
       "SELECT * FROM spikes", _Z, _SPIKES)
-query("margin_collapses", "A2", lambda m: anomalies.margin_collapses(m.orders, m.locations, m.cfg),
+query("margin_collapses", "A2", lambda m: anomalies.margin_collapses(m.outlet_days, m.locations, m.cfg),
       "SELECT * FROM collapses", _DAYS, _COLLAPSE)
 query("order_outliers", "A3", lambda m: anomalies.order_outliers(m.orders, m.cfg), "SELECT * FROM outliers", _OUTLIERS)
 query("rating_groups_per_hour", "A4",

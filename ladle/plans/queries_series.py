@@ -132,7 +132,7 @@ def _group_sql(key):
 
 
 query("forecast_by_location", "T15",
-      lambda m: series.group_forecasts(series.daily_by_outlet(m.orders), "location_id", m.cfg),
+      lambda m: series.group_forecasts(m.outlet_days, "location_id", m.cfg),
       _group_sql("location_id"),
       "by_outlet AS (SELECT location_id, order_date AS date, count(*) AS orders FROM order_facts GROUP BY 1, 2)",
       *_model_views("grp", "by_outlet", "location_id"))

@@ -14,7 +14,7 @@ def read_csv(spark: SparkSession, folder: str, name: str, infer: bool = False,
              columns: list[str] | None = None) -> DataFrame:
     """One raw table. With the known schema there is no inference pass; ``columns``
     are pruned in the scan."""
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("escape", '"')
     reader = reader.option("inferSchema", True) if infer else reader.schema(SCHEMAS[name])
     df = reader.csv(f"{folder.rstrip('/')}/{name}.csv")
     return df if columns is None else df.select(*columns)

@@ -34,7 +34,7 @@ def write_report(df: DataFrame, root: str, name: str, fmt: str = "parquet") -> N
     """Executors write the report; nothing passes through the driver."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("escape", '"')
     writer.format(fmt).save(f"{root}/{name}")
 
 
@@ -46,7 +46,7 @@ def write_reports(reports: dict[str, DataFrame], root: str, fmt: str = "parquet"
 def read_report(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
     reader = spark.read
     if fmt == "csv":
-        reader = reader.option("header", True).option("inferSchema", True)
+        reader = reader.option("header", True).option("inferSchema", True).option("escape", '"')
     return reader.format(fmt).load(f"{root}/{name}")
 
 
@@ -76,7 +76,7 @@ def payload(spark: SparkSession, sections: dict[str, DataFrame]) -> DataFrame:
     row = spark.range(1).select(F.lit(1).alias("version"))
     columns = {}
     for name, df in sections.items():
-        packed = df.agg(F.collect_list(F.struct(*df.columns)).alias("rows"))
+        packed = df.agg(F.sort_array(F.collect_list(F.struct(*df.columns))).alias("rows"))
         columns[name] = packed.scalar()
     return row.withColumns(columns)
 
