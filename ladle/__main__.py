@@ -26,7 +26,10 @@ def main() -> None:
     spark = SparkSession.builder.appName("ladle").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     cfg = Config(analysis_end=args.analysis_end)
     mart = FileMart(spark, args.raw, cfg, args.raw_format) if args.raw else StarMart(spark, args.star, cfg)
-    batch.run(mart, args.out, args.format)
+    try:
+        batch.run(mart, args.out, args.format)
+    finally:
+        mart.close()
 
 
 if __name__ == "__main__":

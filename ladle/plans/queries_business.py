@@ -510,4 +510,7 @@ query("slice_dates_segments", "Q8 J11", lambda m: _slice(m, "dates").segment_mix
 query("active_filters", "Q10",
       lambda m: reduce(DataFrame.unionByName, [
           _slice(m, w).meta().select(F.lit(w).alias("slice"), F.lit(f.active).alias("active"), "lines")
-          for w, (f, _) in _CHOSEN.items()]))
+          for w, (f, _) in _CHOSEN.items()]),
+      " UNION ALL ".join(
+          f"SELECT '{w}' AS slice, {n} AS active, count(*) AS lines FROM fact WHERE {_CHOSEN[w][1]}"
+          for w, n in (("dates", 4), ("place", 3), ("tier", 4))))

@@ -30,6 +30,13 @@ def test_query_equals_sql(spark, mart, con, name):
     assert verdict.startswith("ok") and "TYPES" not in verdict, verdict
 
 
+def test_entry_contract(spark):
+    import __spark_entry__ as contract
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    df = contract.entry(spark)
+    assert df.count() > 0 and {"item_id", "location_id", "local_class"} <= set(df.columns)
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
