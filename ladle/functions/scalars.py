@@ -95,11 +95,13 @@ def money_short(value: Column) -> Column:
 
 
 def signed(value: Column, digits: int) -> Column:
-    return F.format_string(f"%+.{digits}f", value.cast("double"))
+    """Fixed-point text with a sign; halves go to the even digit, unlike ``format_string``."""
+    return F.format_string(f"%+.{digits}f", half_even(value, digits))
 
 
 def fixed(value: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f", value.cast("double"))
+    """Fixed-point text; halves go to the even digit, unlike ``format_string`` alone."""
+    return F.format_string(f"%.{digits}f", half_even(value, digits))
 
 
 def thousands(value: Column) -> Column:

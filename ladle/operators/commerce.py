@@ -235,7 +235,7 @@ def what_if(menu: DataFrame, scenarios: list[tuple[float, float, float, float]],
     })
 
     def change(new: str, old: str) -> Column:
-        return F.coalesce(F.round(S.ratio(F.col(new) - F.col(old), F.col(old)) * 100, 2), F.lit(0.0))
+        return F.coalesce(F.round(S.ratio(F.col(new) - F.col(old), F.col(old)) * 100, 4), F.lit(0.0))
 
     return df.select(
         "item_id", "scenario",

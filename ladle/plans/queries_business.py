@@ -244,7 +244,7 @@ def _what_if(m):
 
 
 def _change(new, old):
-    return f"coalesce(round(({new} - {old}) / nullif({old}, 0) * 100, 2) + 0, 0) AS "
+    return f"coalesce(round(({new} - {old}) / nullif({old}, 0) * 100, 4) + 0, 0) AS "
 
 
 query(

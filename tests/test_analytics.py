@@ -90,6 +90,8 @@ def test_text_functions(spark):
     one = spark.range(1)
     texts = [one.select(S.money_short(F.lit(v))).first()[0] for v in (1234567.0, 3400.0, 12.4)]
     assert texts == ["$1.23M", "$3.4k", "$12"]
+    halves = [one.select(S.fixed(F.lit(v), 0)).first()[0] for v in (16.5, 17.5, -0.4)]
+    assert halves == [f"{v:.0f}".replace("-0", "0") for v in (16.5, 17.5, -0.4)]
     assert one.select(S.half_even(F.lit(2.5), 0)).first()[0] == 2.0
     assert one.select(S.ratio(F.lit(1), F.lit(0))).first()[0] is None
     assert one.select(S.line_amount(F.lit(3), F.lit(Decimal("1.115")), F.lit(10))).first()[0] == Decimal("3.01")
