@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bpe, sharding, token_counts, vectors
+from ladle.llm import bpe, sharding, substrings, token_counts, vectors
 from ladle.llm.common import read
 
 
@@ -22,6 +22,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op7_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(read(spark, sf_dir, "documents"), window=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), decode=True)
@@ -37,7 +42,7 @@ def op10_contiguous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_top_k, op5_token_counts, op9_byte_bpe, op10_contiguous_shards)
+    f.__name__: f for f in (op2_exact_top_k, op5_token_counts, op7_repeated_spans, op9_byte_bpe, op10_contiguous_shards)
 }
 
 SQL: dict[str, str] = {
