@@ -113,9 +113,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, bits: int = 4, qu
     n_vectors, n_queries = vectors.count(), queries.count()
     wide, high = max(1, -(-n_vectors // vector_block)), max(1, -(-n_queries // query_block))
     shape = F.size("vector").alias("dim")
-    v = vectors.select("vec_id", "vector", shape, F.pmod(F.xxhash64("vec_id"), F.lit(wide)).alias("col"),
+    v = vectors.select("vec_id", "vector", shape, F.pmod(F.xxhash64("vec_id"), F.lit(wide)).cast("int").alias("col"),
                        F.explode(F.sequence(F.lit(0), F.lit(high - 1))).alias("row"))
-    q = queries.select("vec_id", "vector", shape, F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(high)).alias("row"),
+    q = queries.select("vec_id", "vector", shape, F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(high)).cast("int").alias("row"),
                        F.explode(F.sequence(F.lit(0), F.lit(wide - 1))).alias("col"))
     out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
