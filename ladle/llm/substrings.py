@@ -57,7 +57,7 @@ def walk_of(column: pa.ChunkedArray, window: int) -> Walk:
     for j in range(width - 2, -1, -1):
         place = np.where(g[windows + j] == least, windows + j, place)
     seeds, seed_of = np.unique(place, return_inverse=True)
-    keys = g[seeds]
+    keys = mix(g[seeds])  # the least hashes are small: mixed again, they fill all buckets
     doc = words.doc[seeds]
     distinct, entry = np.unique(keys, return_inverse=True)
     return Walk(words, windows, seed_of, seeds, keys, doc[1:] == doc[:-1], distinct, entry)
