@@ -8,8 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bpe, sharding, substrings, token_counts, vectors
-from ladle.llm.common import read
+from ladle.llm import bpe, decontamination, language, quality, sharding, substrings, token_counts, vectors
+from ladle.llm.common import crc, read
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc("doc_id") % 4 == 2, F.lit(False))
+    model = language.fit(docs.filter(F.col("doc_id").isNotNull() & ~held_out).select("doc_id", "text", "lang"))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,11 +30,24 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op6_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score")
+
+
 def op7_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeats(read(spark, sf_dir, "documents"), window=20)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc("doc_id") % 5 == 0, F.lit(False))
+    model = quality.fit(docs, read(spark, sf_dir, "labels").filter(~held_out))
+    return quality.score_documents(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), decode=True)
@@ -42,7 +63,7 @@ def op10_contiguous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_top_k, op5_token_counts, op7_repeated_spans, op9_byte_bpe, op10_contiguous_shards)
+    f.__name__: f for f in (op1_language, op2_exact_top_k, op5_token_counts, op6_benchmark_overlap, op7_repeated_spans, op8_quality, op9_byte_bpe, op10_contiguous_shards)
 }
 
 SQL: dict[str, str] = {

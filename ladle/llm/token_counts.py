@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -11,15 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import text_blocks, texts_of
+from ladle.llm.common import answered, partitions, rows_table, texts_of
 
 #: A pre-token: spaces with what follows them up to the next space or line break, or a run of line breaks.
 _PRE_TOKEN = re.compile(r"\n+| *[^ \n]+| +")
 
-#: Partial sums that a task of the last step holds before it hands them on.
-_HELD = 1 << 20
-
-
 @lru_cache(maxsize=2)
 def _model(path: str):
     import sentencepiece
@@ -51,129 +47,72 @@ def piece_counts(words: list[str], path: str) -> list[int]:
     return [1 if w == " " else len(p) - (0 if w[0] == " " else lead) for w, p in zip(words, found, strict=True)]
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str], np.ndarray, np.ndarray, np.ndarray]]:
-    """Per block: distinct pre-tokens, and (pre-token, document, frequency) sorted by pre-token."""
-    for block in text_blocks(batches):
-        known: dict[str, int] = {}
-        ids, sizes = [], []
-        for text in texts_of(block):
-            words = pre_tokens(text)
-            for w in words:
-                if w not in known:
-                    known[w] = len(known)
-            ids.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
-            sizes.append(len(words))
-        keys = np.concatenate(ids) * len(sizes) + np.repeat(np.arange(len(sizes)), sizes)
-        keys, counts = np.unique(keys, return_counts=True)
-        yield block, list(known), keys // max(1, len(sizes)), keys % max(1, len(sizes)), counts
+def _distinct(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pre-tokens in order of hash and text, their hashes, and the frequencies of each text's pre-tokens, keyed
+    by text ordinal * number of distinct pre-tokens + place among them."""
+    known: dict[str, int] = {}
+    ids = []
+    for text in texts:
+        words = pre_tokens(text)
+        for w in words:
+            if w not in known:
+                known[w] = len(known)
+        ids.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+    raw = [w.encode() for w in known]
+    hashes = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw))
+    order = np.array(sorted(range(len(raw)), key=lambda i: (hashes[i], raw[i])), dtype=np.int64)
+    place = np.empty(len(raw), dtype=np.int64)
+    place[order] = np.arange(len(raw))
+    sizes = np.array([len(i) for i in ids], dtype=np.int64)
+    flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+    pairs, counts = np.unique(np.repeat(np.arange(len(ids)), sizes) * max(1, len(raw)) + place[flat], return_counts=True)
+    return [raw[i] for i in order], hashes[order], pairs, counts
+
+
+_SENT = "bucket int, block int, keys binary, c0 binary"
+_ANSWER = "bucket int, block int, answer binary"
 
 
 def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """doc_id, n_bytes (UTF-8) and n_tokens of every row of docs, for a SentencePiece BPE vocabulary.
 
-    Distinct pre-tokens of all texts are found once and their pieces counted once. Each block of documents sends its
-    frequencies as one row per distinct pre-token (documents and counts packed), which joins the piece counts on the
-    pre-token; a frequent one has a row per block, and adaptive skew handling splits it. Sums per block come back as
-    packed partial vectors. No ids are made. docs must be a stable plan, such as a table scan: blocks are named by
-    partition and ordinal. Null and empty texts have 0 tokens; repeated rows and null ids keep a row each; further
-    columns are left behind.
+    Documents are dealt into as many hash blocks as there are shuffle partitions. A block sends each of its distinct
+    pre-tokens once to the bucket of its hash, where the pieces of each distinct pre-token are counted once; the counts
+    come back to the block and are joined to the pre-token frequencies of its documents. A pre-token that all documents
+    hold costs one entry per block. No ids are made. Null and empty texts have 0 tokens; repeated rows and null ids keep
+    a row each; further columns are left behind.
     """
-    rows = docs.select("doc_id", F.col(text).alias("text"))
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()
-        for block in text_blocks(batches):
-            new = {w for t in texts_of(block) for w in pre_tokens(t)} - seen
-            seen |= new
-            if len(seen) > 400_000:
-                seen = set()
-            yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.string())], names=["piece"])
-
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n = partitions(docs.sparkSession)
+    blocked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"),
+                          F.pmod(F.xxhash64("doc_id", F.octet_length(text)), F.lit(n)).cast("int").alias("block"))
+
+    def send(table: pa.Table) -> pa.Table:
+        words, hashes, _, _ = _distinct(texts_of(table))
+        block, bounds = table.column("block")[0].as_py(), np.searchsorted(hashes * n >> 32, np.arange(n + 1))
+        return rows_table([{"bucket": b, "block": block, "keys": b"".join(words[i:j]), "c0": np.array([len(w) for w in words[i:j]], np.uint32).tobytes()}
+                           for b, (i, j) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)) if i < j], _SENT)
+
+    def judge(table: pa.Table) -> pa.Table:
         if not _splits_at_spaces(path):
             raise ValueError("this vocabulary has pieces across spaces; pre-tokens can't be counted apart")
-        for batch in batches:
-            some = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array(piece_counts(some, path), pa.int64())], names=["piece", "n"])
-
-    block_schema = "part int, nth int, piece string, docs binary, freqs binary, wide boolean"
-
-    def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        for nth, (block, names, word, doc, count) in enumerate(_frequencies(batches)):
-            n = block.num_rows
-            wide = n > 1 << 16 or (len(count) and count.max() >= 1 << 16)
-            kind = np.uint32 if wide else np.uint16
-            at = np.searchsorted(word, np.arange(len(names) + 1))
-            offsets = pa.py_buffer((at * np.dtype(kind).itemsize).astype(np.int32).tobytes())
-            packed = [pa.Array.from_buffers(pa.binary(), len(names), [None, offsets, pa.py_buffer(x.astype(kind).tobytes())]) for x in (doc, count)]
-            if names:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(names), part), pa.int32()), pa.array(np.full(len(names), nth), pa.int32()), pa.array(names, pa.string()),
-                    *packed, pa.array(np.full(len(names), wide), pa.bool_())], names=names_of)
-
-    names_of = ["part", "nth", "piece", "docs", "freqs", "wide"]
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], np.ndarray] = {}
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([
-                pa.array([k[0] for k in held], pa.int32()), pa.array([k[1] for k in held], pa.int32()),
-                pa.array([np.flatnonzero(v).astype(np.uint32).tobytes() for v in held.values()], pa.binary()),
-                pa.array([v[v != 0].tobytes() for v in held.values()], pa.binary())], names=["part", "nth", "docs", "sums"])
-
-        for batch in batches:
-            part, nth = np.asarray(batch.column("part")).astype(np.int64), np.asarray(batch.column("nth")).astype(np.int64)
-            n, wide = np.asarray(batch.column("n")), np.asarray(batch.column("wide").to_pylist(), dtype=bool)
-            docs_, freqs = batch.column("docs").to_pylist(), batch.column("freqs").to_pylist()
-            for key in np.unique(part << 32 | nth):
-                at = np.flatnonzero((part << 32 | nth) == key)
-                kind = np.uint32 if wide[at[0]] else np.uint16
-                d = np.frombuffer(b"".join(docs_[i] for i in at), dtype=kind)
-                f = np.frombuffer(b"".join(freqs[i] for i in at), dtype=kind).astype(np.int64)
-                f = f * np.repeat(n[at], [len(docs_[i]) // np.dtype(kind).itemsize for i in at])
-                got = np.bincount(d, weights=f).astype(np.int64)
-                old = held.setdefault((int(key >> 32), int(key & 0xFFFFFFFF)), np.zeros(0, np.int64))
-                if len(old) < len(got):
-                    size += len(got) - len(old)
-                    old, got = got, old
-                total = old.copy()
-                total[:len(got)] += got
-                held[int(key >> 32), int(key & 0xFFFFFFFF)] = total
-            if size > _HELD:
-                yield out()
-                held, size = {}, 0
-        if held:
-            yield out()
-
-    def close(left: pa.Table, right: pa.Table) -> pa.Table:
-        """A block's documents with their sums."""
-        ids, sizes = (left.column(c)[0].as_py() for c in ("doc_ids", "n_bytes"))
-        total = np.zeros(len(ids), dtype=np.int64)
-        for d, s in zip(right.column("docs").to_pylist(), right.column("sums").to_pylist(), strict=True):
-            total[np.frombuffer(d, dtype=np.uint32)] += np.frombuffer(s, dtype=np.int64)
-        return pa.table([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(total)], names=["doc_id", "n_bytes", "n_tokens"])
-
-    counted = rows.mapInArrow(words, "piece string").distinct().mapInArrow(pieces, "piece string, n long")
-    sent = rows.mapInArrow(postings, block_schema)
-    joined = sent.join(counted, "piece").select("part", "nth", "docs", "freqs", "wide", "n")
-    partial = joined.mapInArrow(sums, "part int, nth int, docs binary, sums binary")
-    heads = rows.mapInArrow(_heads, "part int, nth int, doc_ids array<long>, n_bytes array<long>")
-    keys = ["part", "nth"]
-    return heads.groupBy(*keys).cogroup(partial.groupBy(*keys)).applyInArrow(close, "doc_id long, n_bytes long, n_tokens long")
-
-
-def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ids and sizes of each block's documents, named as in the frequencies."""
-    from pyspark import TaskContext
-
-    part = TaskContext.get().partitionId()
-    for nth, block in enumerate(text_blocks(batches)):
-        sizes = pa.compute.binary_length(block.column(1).fill_null("")).cast(pa.int64())
-        yield pa.RecordBatch.from_arrays([
-            pa.array([part], pa.int32()), pa.array([nth], pa.int32()), pa.array([block.column(0).to_pylist()], pa.list_(pa.int64())),
-            pa.array([sizes.to_pylist()], pa.list_(pa.int64()))], names=["part", "nth", "doc_ids", "n_bytes"])
+        parts = []
+        for body, sizes in zip(table.column("keys").to_pylist(), table.column("c0").to_pylist(), strict=True):
+            ends = np.cumsum(np.frombuffer(sizes, dtype=np.uint32)).tolist()
+            parts.append([body[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)])
+        distinct = list({w for p in parts for w in p})
+        pieces = dict(zip(distinct, piece_counts([w.decode() for w in distinct], path), strict=True))
+        bucket = table.column("bucket")[0].as_py()
+        return rows_table([{"bucket": bucket, "block": b, "answer": np.fromiter(map(pieces.__getitem__, p), np.uint32, len(p)).tobytes()}
+                           for b, p in zip(table.column("block").to_pylist(), parts, strict=True)], _ANSWER)
+
+    def close(table: pa.Table, replies: pa.Table) -> pa.Table:
+        words, _, pairs, counts = _distinct(texts_of(table))
+        pieces = answered(replies, np.uint32).astype(np.int64) if replies.num_rows else np.zeros(0, np.int64)
+        doc, word = np.divmod(pairs, max(1, len(words)))
+        total = np.bincount(doc, weights=pieces[word] * counts, minlength=table.num_rows).astype(np.int64)
+        sizes = pa.compute.binary_length(table.column("text").cast(pa.binary())).fill_null(0).cast(pa.int64())
+        return pa.table([table.column("doc_id"), sizes, pa.array(total)], names=["doc_id", "n_bytes", "n_tokens"])
+
+    by_block = blocked.groupBy("block")
+    counted = by_block.applyInArrow(send, _SENT).groupBy("bucket").applyInArrow(judge, _ANSWER)
+    return by_block.cogroup(counted.groupBy("block")).applyInArrow(close, "doc_id long, n_bytes long, n_tokens long")
