@@ -46,7 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame) -> DataFrame:
     """df written as Parquet to the shared folder and read again: cuts lineage, and survives lost executors."""
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -25,15 +25,19 @@ def tokens(text: str | Column) -> Column:
 
 
 def _seeds(words: str, masks: tuple[str, ...]) -> Column:
-    """Seed hashes of all masks at all positions, mask after mask; none for fewer words than the span."""
+    """Seed hashes of all masks at all positions, mask after mask; none for fewer words than the span.
+
+    The words are bound as a lambda's argument: the optimiser would otherwise put the splitting of the text in place of
+    every look-up.
+    """
     span = len(masks[0])
 
-    def of(n: int, mask: str) -> Column:
+    def of(n: int, mask: str, w: Column) -> Column:
         places = [j for j, bit in enumerate(mask) if bit == "1"]
-        return F.transform(F.sequence(F.lit(0), F.size(words) - span),
-                           lambda i: F.xxhash64(F.lit(n), *[F.get(F.col(words), i + j) for j in places]))
+        return F.transform(F.sequence(F.lit(0), F.size(w) - span), lambda i: F.xxhash64(F.lit(n), *[F.get(w, i + j) for j in places]))
 
-    return F.when(F.size(words) >= span, F.concat(*[of(n, m) for n, m in enumerate(masks)]))
+    return F.get(F.transform(F.array(words), lambda w: F.when(
+        F.size(w) >= span, F.concat(*[of(n, m, w) for n, m in enumerate(masks)]))), 0)
 
 
 def seeds_of(rows: DataFrame, keys: list[str], masks: tuple[str, ...]) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bpe, decontamination, language, quality, sharding, substrings, token_counts, vectors
+from ladle.llm import bpe, decontamination, jaccard, language, privacy, quality, sharding, substrings, token_counts, vectors
 from ladle.llm.common import crc, read
 
 
@@ -25,6 +25,16 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(rows, rows.filter("vec_id % 20 = 0"), k=20)
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = privacy.find_personal_data(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"),
+                        privacy.all_spans("base", "terms").alias("spans"))
+
+
+def op4_similar_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_classes(read(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
@@ -63,7 +73,7 @@ def op10_contiguous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language, op2_exact_top_k, op5_token_counts, op6_benchmark_overlap, op7_repeated_spans, op8_quality, op9_byte_bpe, op10_contiguous_shards)
+    f.__name__: f for f in (op1_language, op2_exact_top_k, op3_personal_data, op4_similar_classes, op5_token_counts, op6_benchmark_overlap, op7_repeated_spans, op8_quality, op9_byte_bpe, op10_contiguous_shards)
 }
 
 SQL: dict[str, str] = {

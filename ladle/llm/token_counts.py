@@ -47,9 +47,9 @@ def piece_counts(words: list[str], path: str) -> list[int]:
     return [1 if w == " " else len(p) - (0 if w[0] == " " else lead) for w, p in zip(words, found, strict=True)]
 
 
-def _distinct(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pre-tokens in order of hash and text, their hashes, and the frequencies of each text's pre-tokens, keyed
-    by text ordinal * number of distinct pre-tokens + place among them."""
+def _distinct(texts: list[str], buckets: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pre-tokens in order of bucket and text, their buckets, and the frequencies of each text's pre-tokens,
+    keyed by text ordinal * number of distinct pre-tokens + place among them."""
     known: dict[str, int] = {}
     ids = []
     for text in texts:
@@ -59,14 +59,15 @@ def _distinct(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, np
                 known[w] = len(known)
         ids.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
     raw = [w.encode() for w in known]
-    hashes = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw))
-    order = np.array(sorted(range(len(raw)), key=lambda i: (hashes[i], raw[i])), dtype=np.int64)
+    bucket = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) * buckets >> 32
+    order = np.array(sorted(range(len(raw)), key=raw.__getitem__), dtype=np.int64)
+    order = order[np.argsort(bucket[order], kind="stable")]
     place = np.empty(len(raw), dtype=np.int64)
     place[order] = np.arange(len(raw))
     sizes = np.array([len(i) for i in ids], dtype=np.int64)
     flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
     pairs, counts = np.unique(np.repeat(np.arange(len(ids)), sizes) * max(1, len(raw)) + place[flat], return_counts=True)
-    return [raw[i] for i in order], hashes[order], pairs, counts
+    return [raw[i] for i in order], bucket[order], pairs, counts
 
 
 _SENT = "bucket int, block int, keys binary, c0 binary"
@@ -87,9 +88,10 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                           F.pmod(F.xxhash64("doc_id", F.octet_length(text)), F.lit(n)).cast("int").alias("block"))
 
     def send(table: pa.Table) -> pa.Table:
-        words, hashes, _, _ = _distinct(texts_of(table))
-        block, bounds = table.column("block")[0].as_py(), np.searchsorted(hashes * n >> 32, np.arange(n + 1))
-        return rows_table([{"bucket": b, "block": block, "keys": b"".join(words[i:j]), "c0": np.array([len(w) for w in words[i:j]], np.uint32).tobytes()}
+        words, bucket, _, _ = _distinct(texts_of(table), n)
+        block, bounds = table.column("block")[0].as_py(), np.searchsorted(bucket, np.arange(n + 1))
+        return rows_table([{"bucket": b, "block": block, "keys": zlib.compress(b"".join(words[i:j]), 1),
+                            "c0": zlib.compress(np.array([len(w) for w in words[i:j]], np.uint32).tobytes(), 1)}
                            for b, (i, j) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)) if i < j], _SENT)
 
     def judge(table: pa.Table) -> pa.Table:
@@ -97,6 +99,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
             raise ValueError("this vocabulary has pieces across spaces; pre-tokens can't be counted apart")
         parts = []
         for body, sizes in zip(table.column("keys").to_pylist(), table.column("c0").to_pylist(), strict=True):
+            body, sizes = zlib.decompress(body), zlib.decompress(sizes)
             ends = np.cumsum(np.frombuffer(sizes, dtype=np.uint32)).tolist()
             parts.append([body[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)])
         distinct = list({w for p in parts for w in p})
@@ -106,7 +109,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                            for b, p in zip(table.column("block").to_pylist(), parts, strict=True)], _ANSWER)
 
     def close(table: pa.Table, replies: pa.Table) -> pa.Table:
-        words, _, pairs, counts = _distinct(texts_of(table))
+        words, _, pairs, counts = _distinct(texts_of(table), n)
         pieces = answered(replies, np.uint32).astype(np.int64) if replies.num_rows else np.zeros(0, np.int64)
         doc, word = np.divmod(pairs, max(1, len(words)))
         total = np.bincount(doc, weights=pieces[word] * counts, minlength=table.num_rows).astype(np.int64)
