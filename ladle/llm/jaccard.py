@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.llm.common import (
@@ -28,7 +28,7 @@ SHARE = 4
 #: Members of one part of a group in the token-group matrix, about.
 PART = 512
 _ANSWER = "bucket int, block int, answer binary"
-_NODES = "doc_id long, n long, node long, text string, prefix array<long>"
+_NODES = "doc_id long, row_key long, n long, node long, text string, prefix array<long>"
 
 
 @dataclass
@@ -109,10 +109,15 @@ def _judge_tokens(table: pa.Table) -> pa.Table:
                        for b, i, j in zip(blocks, bounds[:-1], bounds[1:], strict=True)], _ANSWER)
 
 
+def _row_key() -> Column:
+    """One number for id and text; rows that share it are the same."""
+    return F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+
+
 def document_nodes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Stored: doc_id, n (set size) and node of every document; text and prefix where a node may have a partner."""
     n = partitions(docs.sparkSession)
-    blocked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+    blocked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), "text",
                           F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(2 * n)).cast("int").alias("block"))
 
     def send(table: pa.Table) -> pa.Table:
@@ -142,10 +147,10 @@ def document_nodes(docs: DataFrame, k: int, percent: int) -> DataFrame:
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.chunk(0)
         return pa.table([
-            table.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(node.view(np.int64)),
+            table.column("doc_id"), table.column("row_key"), pa.array(size.astype(np.int64)), pa.array(node.view(np.int64)),
             pa.compute.if_else(pa.array(open_), texts, pa.scalar(None, texts.type)),
             pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(sets.tokens[prefix].view(np.int64)))],
-            names=["doc_id", "n", "node", "text", "prefix"])
+            names=["doc_id", "row_key", "n", "node", "text", "prefix"])
 
     by_block = blocked.groupBy("block")
     counted = by_block.applyInArrow(send, ask_schema(1)).groupBy("bucket").applyInArrow(_judge_tokens, _ANSWER)
@@ -233,14 +238,8 @@ def _group_links(postings: DataFrame, groups: DataFrame, sets: DataFrame, k: int
     return members.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(open_group, "a long, b long")
 
 
-def similar_classes(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row: the least doc_id reachable by links, its own included.
-
-    Two documents link when 100 * intersection >= percent * union of their k-word shingle sets. Words are what white
-    space divides, A-Z in lower case. Documents without words link with nothing and are their own component. Null ids
-    have a component's least id, or null; repeated rows keep a row each; further columns are left behind. percent is
-    above 50. Hashes have 64 bits; every link is checked on whole sets, computed from the texts.
-    """
+def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, row_key, n and class (a node; meaningless where n is 0) of every row."""
     nodes = document_nodes(docs, k, percent)
     sets = stored(nodes.filter("text is not null").select("node", "n", "text", "prefix").dropDuplicates(["node"]))
     postings = sets.select("node", "n", F.explode("prefix").alias("token"))
@@ -248,15 +247,30 @@ def similar_classes(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
     groups = components(first)
     second = stored(_group_links(postings, groups, sets.drop("prefix"), k, percent))
     found = groups if second.isEmpty() else components(first.union(second))
-    placed = (nodes.select("doc_id", F.col("n").alias("n_shingles"), "node").join(found, "node", "left")
-              .withColumn("class", F.coalesce("component", "node")))
-    least = placed.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    return placed.join(least, "class", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return (nodes.select("doc_id", "row_key", "n", "node").join(found, "node", "left")
+            .select("doc_id", "row_key", "n", F.coalesce("component", "node").alias("class")))
 
 
-def one_of_each(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
-    """docs with one document of each class: the one of the least doc_id, or of a null id where a class has no other.
-    Of rows that share that id one stays."""
-    classes = similar_classes(docs, k, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(classes, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id"])
+def similar_classes(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row: the least doc_id reachable by links, its own included.
+
+    Two documents link when 100 * intersection >= percent * union of their k-word shingle sets. Words are what white
+    space divides, A-Z in lower case. Documents without words link with nothing and are their own component. Null ids
+    have a component's least id, or null; repeated rows keep a row each; further columns are left behind. percent is
+    above 50. Hashes have 64 bits; every link is checked on whole sets, computed from the texts.
+    """
+    placed = _classes(docs, k, percent)
+    least = placed.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
+    return placed.join(least, "class", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """docs with one row of each class: that of the least doc_id (a null one only where a class has no other), of these
+    the least by a hash of the text; of repeated rows one. Rows without words all stay, once each."""
+    placed = _classes(docs, k, percent)
+    kept = (placed.filter("n > 0").groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("s"))
+            .select(F.col("s.row_key").alias("_key"))
+            .union(placed.filter("n = 0").select(F.col("row_key").alias("_key"))))
+    keyed = docs.withColumn("_key", _row_key())
+    return keyed.join(kept.distinct(), "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")

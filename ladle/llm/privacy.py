@@ -206,6 +206,7 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
              .select(F.col("doc_id").alias("_id"), F.to_json("terms").alias("_terms"), F.col("base").alias("_base")))
     both = docs.join(terms, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import json
@@ -220,7 +221,7 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
                     base = base_spans(t)
                     same = more is not None and joined_spans(base) == seen
                     texts.append(masked(t, base, [(x["start"], x["end"], x["action"]) for x in json.loads(more)] if same else []))
-                columns = {n: block.column(n) for n in docs.columns}
+                columns = {n: block.column(n) for n in names}
                 columns["text"] = pa.array(texts, pa.string())
                 if "n_chars" in columns:
                     columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], columns["n_chars"].type)
