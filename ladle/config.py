@@ -85,5 +85,10 @@ class Config:
     low_risk: float = 0.35
     medium_risk: float = 0.55
     churn_report_rows: int = 500
+    # model fits: partitions of a training table, whatever its size, and the work of the second family
+    fit_partitions: int = 8
+    boosting_rounds: int = 100
+    full_tree_depth: int = 30
+    logistic_iterations: int = 1000
     # reports
     view_cap: int = 2000

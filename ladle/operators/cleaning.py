@@ -13,10 +13,21 @@ from pyspark.sql import functions as F
 from ladle import config as C
 from ladle.functions import scalars as S
 
-LINE_KEY = ["order_id", "item_id", "quantity", "unit_price", "discount_pct", "line_total"]
 LINE_NUMBER = "order_item_id"
 
 
+def line_identity(lines: DataFrame) -> list[str]:
+    """The columns that make two lines the same: all but the running line number."""
+    return [c for c in lines.columns if c != LINE_NUMBER]
+
+
+def counted_lines(lines: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """One row per distinct line with its ``copies``; a ``key`` compares only the columns named."""
+    key = key or line_identity(lines)
+    needed = [c for c in ("item_id", "quantity", "unit_price") if c not in key]
+    return lines.groupBy(*key).agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in needed])
+
+
 def drop_duplicate_lines(lines: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Distinct lines. The running line number is not part of a line's identity, so by
     default it is left out; a ``key`` keeps all columns and compares only those named.
@@ -86,8 +97,7 @@ def clean_orders(orders: DataFrame) -> DataFrame:
 def cleaning_log(lines: DataFrame, orders: DataFrame, ratings: DataFrame, wastage: DataFrame,
                  menu_items: DataFrame, dedup_key: list[str] | None = None) -> DataFrame:
     """Rows touched per step, in step order. Each table is read once."""
-    key = dedup_key or LINE_KEY
-    copies = lines.groupBy(*key).agg(F.count("*").alias("copies"))
+    copies = counted_lines(lines, dedup_key)
     checked = known_items(copies, menu_items)
     sold = F.col("quantity") > 0
     line_counts = checked.agg(
@@ -125,7 +135,7 @@ def _stack(one_row: DataFrame, steps: dict[int, tuple[str, str]]) -> DataFrame:
 
 def row_audit(lines: DataFrame, menu_items: DataFrame, price_policy: str = "drop") -> DataFrame:
     """Rows before and after cleaning from one pass over the lines."""
-    copies = lines.groupBy(*LINE_KEY).agg(F.count("*").alias("copies"))
+    copies = counted_lines(lines)
     keep = F.col("quantity") > 0
     if price_policy == "drop":
         keep = keep & (F.col("unit_price") > 0)

@@ -159,12 +159,14 @@ def risk_level(over_ratio: Column) -> Column:
 
 
 def risk_weekday(daily_inventory: DataFrame) -> DataFrame:
-    """Weekday with the highest mean over-preparation per item and outlet."""
+    """Weekday with the highest mean over-preparation per item and outlet; null where the stock is
+    counted on one weekday only, as weekly counts say nothing about weekdays."""
     by_day = daily_inventory.groupBy("item_id", "location_id", S.dow(F.col("date")).alias("dow")).agg(
         F.avg(F.col("prepared_qty") - F.col("consumed_qty")).alias("over"))
     worst = F.max_by("dow", F.struct(F.col("over").alias("o"), (-F.col("dow")).alias("d")))
+    days = by_day.agg(F.count_distinct("dow")).scalar()
     return by_day.groupBy("item_id", "location_id").agg(worst.alias("dow")).select(
-        "item_id", "location_id", S.label_of(F.col("dow"), C.WEEKDAYS).alias("day"))
+        "item_id", "location_id", F.when(days > 1, S.label_of(F.col("dow"), C.WEEKDAYS)).alias("day"))
 
 
 def waste_risk(inventory: DataFrame, daily_inventory: DataFrame, menu_items: DataFrame, locations: DataFrame,

@@ -144,8 +144,8 @@ def activity(orders: DataFrame) -> DataFrame:
         S.half_even(F.coalesce(F.avg((F.col("n") > 1).cast("int")) * 100, F.lit(0.0)), 1).alias("repeat_rate"))
 
 
-def new_vs_returning(orders: DataFrame, weeks: int = 12) -> DataFrame:
-    """Customers per week, split by whether their first order falls in that week.
+def new_vs_returning(orders: DataFrame, weeks: int | None = 12) -> DataFrame:
+    """Customers per week, split by whether their first order falls in that week; all weeks for ``None``.
 
     After the distinct a customer has one row per active week, which bounds the window.
     """
@@ -155,7 +155,8 @@ def new_vs_returning(orders: DataFrame, weeks: int = 12) -> DataFrame:
     per_week = seen.withColumn("is_new", F.col("week") == first).groupBy("week").agg(
         F.count_if("is_new").alias("new"), F.count_if(~F.col("is_new")).alias("returning"))
     label = F.concat_ws("/", F.col("week").cast("string"), F.date_add("week", 6).cast("string"))
-    return per_week.orderBy(F.desc("week")).limit(weeks).withColumn("label", label).orderBy("week")
+    last = per_week if weeks is None else per_week.orderBy(F.desc("week")).limit(weeks)
+    return last.withColumn("label", label).orderBy("week")
 
 
 def churn_labels(customers: DataFrame, cfg: Config = Config()) -> DataFrame:

@@ -6,6 +6,7 @@ estimators, and what reaches the driver is metric rows and one row per class or
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -28,20 +29,20 @@ from ladle.operators.customers import churn_labels, risk_bands, segment_rule
 FIRST_FEATURES = ["qty", "revenue", "margin", "rating", "wastage", "promo_dep"]
 SECOND_FEATURES = ["qty", "revenue", "margin", "rating", "repeat", "wastage", "promo_dep", "trend"]
 CHURN_FEATURES = ["frequency", "monetary", "categories", "promo_share", "avg_order_value"]
-ROWS_PER_TASK = 20_000  # iterative fits: fewer, fuller tasks when the table is small
 CLUSTER_FEATURES = ["recency", "frequency", "monetary", "categories", "promo_share"]
 
 
 @contextmanager
-def cached(df: DataFrame):
+def cached(df: DataFrame, keys: list[str], cfg: Config = Config()):
     """Persist a training table for the iterations of a fit.
 
-    Iterative fits start one job per step, so a small table is read by few tasks; a
-    large one keeps all of its partitions.
+    Bagging and cluster starts depend on partitions and row order, so the table is dealt
+    by its keys into a configured number of partitions and sorted inside them: a fit
+    gives the same model however its input was partitioned.
     """
-    kept = df.persist()
+    kept = df.repartition(cfg.fit_partitions, *keys).sortWithinPartitions(*keys).persist()
     try:
-        yield kept.coalesce(max(1, kept.count() // ROWS_PER_TASK))
+        yield kept
     finally:
         kept.unpersist()
 
@@ -100,29 +101,19 @@ def first_family(cfg: Config = Config()) -> dict[str, object]:
     }
 
 
-def second_family(rows: int, cfg: Config = Config(), boosting_rounds: int = 20, trees: int = 350) -> dict[str, object]:
+def second_family(rows: int, cfg: Config = Config(), trees: int = 350) -> dict[str, object]:
     """Boosting, randomised trees and a weakly regularised logistic regression.
 
     MLlib boosting is binary, so it runs one-vs-rest. MLlib has no extra-trees; the
     substitute is a forest on the full sample with random feature subsets. The inverse
-    regularisation strength 0.5 becomes ``regParam = 1 / (0.5 * rows)``.
+    regularisation strength 0.5 becomes ``regParam = 1 / (0.5 * rows)`` of the training rows.
     """
-    boost = GBTClassifier(maxIter=boosting_rounds, maxDepth=3, stepSize=0.15, seed=7)
+    boost = GBTClassifier(maxIter=cfg.boosting_rounds, maxDepth=3, stepSize=0.15, seed=7)
     return {
         "Gradient Boosting": OneVsRest(classifier=boost, parallelism=4),
         "Randomised Trees": RandomForestClassifier(
-            numTrees=trees, maxDepth=8, bootstrap=False, featureSubsetStrategy="sqrt", seed=cfg.seed),
-        "Logistic Regression": LogisticRegression(maxIter=200, regParam=1.0 / (0.5 * max(rows, 1))),
-    }
-
-
-def stand_in_family(cfg: Config = Config()) -> dict[str, object]:
-    """Family used when the first family's predictions are not available."""
-    return {
-        "Random Forest": RandomForestClassifier(numTrees=300, maxDepth=8, seed=cfg.seed),
-        "Gradient-Boosted Trees": OneVsRest(
-            classifier=GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.1, seed=cfg.seed), parallelism=4),
-        "Logistic Regression": LogisticRegression(maxIter=200),
+            numTrees=trees, maxDepth=cfg.full_tree_depth, bootstrap=False, featureSubsetStrategy="sqrt", seed=cfg.seed),
+        "Logistic Regression": LogisticRegression(maxIter=cfg.logistic_iterations, regParam=1.0 / (0.5 * max(rows, 1))),
     }
 
 
@@ -143,26 +134,31 @@ class Trained:
             self.board, "model string, accuracy double, macro_f1 double, weighted_f1 double, selected boolean")
 
 
-def feature_stages(samples: DataFrame, features: list[str], label: str = "local_class") -> PipelineModel:
-    """Label index, feature vector and scaling, fitted on all rows so no class is unseen."""
-    stages = [
-        StringIndexer(inputCol=label, outputCol="label", handleInvalid="error", stringOrderType="alphabetAsc"),
+def feature_stages(samples: DataFrame, train: DataFrame, features: list[str], label: str = "local_class") -> PipelineModel:
+    """Label index, fitted on all rows so no class is unseen; feature vector and scaling, fitted on the training rows."""
+    index = StringIndexer(inputCol=label, outputCol="label", handleInvalid="error", stringOrderType="alphabetAsc").fit(samples)
+    scale = Pipeline(stages=[
         VectorAssembler(inputCols=features, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-    ]
-    return Pipeline(stages=stages).fit(samples)
+    ]).fit(train)
+    return PipelineModel(stages=[index, *scale.stages])
+
 
+def train_family(samples: DataFrame, candidates: dict[str, object] | Callable[[int], dict[str, object]],
+                 features: list[str], cfg: Config = Config(), label: str = "local_class") -> Trained:
+    """Fit every candidate on the stratified 70 %, compare on the rest, choose by macro F1.
 
-def train_family(samples: DataFrame, candidates: dict[str, object], features: list[str],
-                 cfg: Config = Config(), label: str = "local_class") -> Trained:
-    """Fit every candidate on the stratified 70 %, compare on the rest, choose by macro F1."""
+    ``candidates`` may be a function of the number of training rows.
+    """
     keys = ["item_id", "location_id"]
     numeric = samples.withColumns({f: F.col(f).cast("double") for f in features})
-    prepare = feature_stages(numeric, features, label)
     split = stratified_split(numeric, label, keys, {"train": 70, "test": 30}, cfg.seed)
-    with cached(prepare.transform(split).select("split", "label", "features")) as ready:
+    prepare = feature_stages(numeric, split.filter("split = 'train'"), features, label)
+    with cached(prepare.transform(split).select(*keys, "split", "label", "features"), keys, cfg) as ready:
         sizes = {r["split"]: r["n"] for r in ready.groupBy("split").agg(F.count("*").alias("n")).collect()}
         train, test = ready.filter("split = 'train'"), ready.filter("split = 'test'")
+        if callable(candidates):
+            candidates = candidates(sizes.get("train", 0))
         board, fitted = [], {}
         for name, estimator in candidates.items():
             fitted[name] = estimator.fit(train)
@@ -214,7 +210,7 @@ def cluster_customers(customers: DataFrame, k: int = 6, restarts: int = 10, seed
         VectorAssembler(inputCols=[f"__{f}" for f in CLUSTER_FEATURES], outputCol="__raw"),
         StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True)]).fit(numeric)
     ready = prepare.transform(numeric).select(*customers.columns, "features")
-    with cached(ready.select("features")) as data:
+    with cached(ready.select("customer_id", "features"), ["customer_id"]) as data:
         runs = [KMeans(k=k, seed=seed + i).fit(data) for i in range(restarts)]
         best = min(runs, key=lambda run: run.summary.trainingCost)
     return best.transform(ready).withColumnRenamed("prediction", "cluster").drop("features")
@@ -270,7 +266,7 @@ def train_churn(customers: DataFrame, cfg: Config = Config()) -> ChurnModel:
     labelled = churn_labels(customers, cfg).withColumns(
         {f"__{f}": F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in CHURN_FEATURES})
     with cached(stratified_split(
-            labelled, "churned", ["customer_id"], {"train": 70, "test": 30}, cfg.seed)) as split:
+            labelled, "churned", ["customer_id"], {"train": 70, "test": 30}, cfg.seed), ["customer_id"], cfg) as split:
         prepare = Pipeline(stages=[
             VectorAssembler(inputCols=[f"__{f}" for f in CHURN_FEATURES], outputCol="__raw"),
             StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True)]).fit(split)
@@ -278,7 +274,7 @@ def train_churn(customers: DataFrame, cfg: Config = Config()) -> ChurnModel:
         # unit inverse strength on the training rows
         rows = train.count()
         fitted = LogisticRegression(
-            labelCol="churned", maxIter=200, regParam=1.0 / max(rows, 1)).fit(train)
+            labelCol="churned", maxIter=cfg.logistic_iterations, regParam=1.0 / max(rows, 1)).fit(train)
         scored = fitted.transform(prepare.transform(split.filter("split = 'test'")))
         auc = BinaryClassificationEvaluator(labelCol="churned", metricName="areaUnderROC").evaluate(scored)
         accuracy, cut = scored.agg(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.functions import scalars as S
-from ladle.operators.cleaning import valid_stars
+from ladle.operators.cleaning import counted_lines, valid_stars
 
 # Issue names and the action each one leads to.
 ISSUES = {
@@ -24,7 +24,7 @@ ISSUES = {
 
 def line_issues(lines: DataFrame, menu_items: DataFrame) -> DataFrame:
     """Issue counters of the order lines: one scan, one shuffle (needed for duplicates)."""
-    copies = lines.groupBy(*lines.columns).agg(F.count("*").alias("__copies"))
+    copies = counted_lines(lines).withColumnRenamed("copies", "__copies")
     known = menu_items.select("item_id", F.lit(True).alias("__known"))
     n = F.col("__copies")
 

@@ -24,9 +24,12 @@ from ladle.sources.star import StarTables
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's checkpoint folder. A local session without one gets a temporary one; a cluster has to name its own,
+    as executors can't see a folder of the driver."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="ladle-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -173,8 +176,7 @@ class Mart:
     @cached_property
     def second_family(self) -> ml.Trained:
         started = time.time()
-        rows = self.cells.count()
-        trained = ml.train_family(self.cells, ml.second_family(rows, self.cfg), ml.SECOND_FEATURES, self.cfg)
+        trained = ml.train_family(self.cells, lambda rows: ml.second_family(rows, self.cfg), ml.SECOND_FEATURES, self.cfg)
         trained.seconds = round(time.time() - started, 1)
         return trained
 

@@ -53,11 +53,11 @@ def _cohorts(weeks):
                FROM (SELECT *, min(week) OVER (PARTITION BY customer_id) AS first_week FROM
                        (SELECT DISTINCT customer_id, CAST(date_trunc('week', order_date) AS DATE) AS week
                         FROM order_facts WHERE NOT is_guest))
-               GROUP BY week ORDER BY week DESC LIMIT {weeks}"""
+               GROUP BY week ORDER BY week DESC{f" LIMIT {weeks}" if weeks else ""}"""
 
 
 query("new_vs_returning", "C12", lambda m: customers.new_vs_returning(m.orders), _cohorts(12))
-query("new_vs_returning_long", "C12", lambda m: customers.new_vs_returning(m.orders, weeks=400), _cohorts(400))
+query("new_vs_returning_long", "C12", lambda m: customers.new_vs_returning(m.orders, weeks=None), _cohorts(None))
 query("churn_labels", "C13",
       lambda m: rounded(customers.churn_labels(m.customers).select("customer_id", "recency_cut", "churned")),
       """SELECT customer_id, round(cut, 6) AS recency_cut, CAST(recency > cut AS INTEGER) AS churned

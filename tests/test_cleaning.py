@@ -86,3 +86,34 @@ def test_reconciliation_difference(defective):
     rows = fact.header_reconciliation(d["order_items"].filter("order_item_id <> 'A1b'"), d["orders"]).collect()
     off = {r.order_id: r.difference for r in rows if r.difference}
     assert off == {"O2": Decimal("10.00")}  # header 5, but its only line is -5
+
+
+def test_all_reports_share_one_identity_of_a_line(spark, defective):
+    """The running number is no part of a line; assessment, log, audit and removal agree, also on further columns."""
+    d = defective
+    report = quality.assess(d["order_items"], d["orders"], d["ratings"], d["wastage"], d["menu_items"], d["locations"])
+    assert {r.issue: r.records for r in report.collect()}["Duplicate order-lines"] == 1
+    promoted = d["order_items"].withColumn("line_promo", F.col("order_item_id"))
+    for lines, repeats in ((d["order_items"], 1), (promoted, 0)):
+        assert quality.line_issues(lines, d["menu_items"]).first().duplicate_lines == repeats
+        log = cleaning.cleaning_log(lines, d["orders"], d["ratings"], d["wastage"], d["menu_items"])
+        assert log.orderBy("step_no").first().records == repeats
+        assert lines.count() - cleaning.drop_duplicate_lines(lines).count() == repeats
+        audit = cleaning.row_audit(lines, d["menu_items"]).first()
+        assert audit.rows_before == lines.count()
+
+
+def test_log_takes_any_key(defective):
+    d = defective
+    log = cleaning.cleaning_log(d["order_items"], d["orders"], d["ratings"], d["wastage"], d["menu_items"], dedup_key=["order_item_id"])
+    assert [r.records for r in log.orderBy("step_no").collect()] == [0, 2, 0, 1, 1, 1, 1]
+
+
+def test_weekly_stock_names_no_weekday(spark):
+    from ladle.operators import commerce
+
+    weekly = [("M1", "L1", f"2026-01-{d:02d}", 10, 4) for d in (5, 12, 19)]
+    schema = "item_id string, location_id string, date string, prepared_qty int, consumed_qty int"
+    days = lambda rows: [r.day for r in commerce.risk_weekday(spark.createDataFrame(rows, schema).withColumn("date", F.to_date("date"))).collect()]
+    assert days(weekly) == [None]
+    assert days([*weekly, ("M1", "L1", "2026-01-06", 90, 4)]) == ["Tue"]

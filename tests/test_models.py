@@ -73,3 +73,20 @@ def test_clusters_and_churn(mart):
     scored = ml.score_churn(mart.customers, model, mart.cfg)
     bad = scored.filter("(churn_prob <= 0.35) <> (risk_band = 'Low') or (churn_prob > 0.55) <> (risk_band = 'High')")
     assert bad.count() == 0
+
+
+def test_fits_do_not_depend_on_how_the_input_is_partitioned(mart):
+    forest = lambda: {"Random Forest": ml.RandomForestClassifier(numTrees=8, maxDepth=6, seed=3)}
+    keys, cells = ["item_id", "location_id"], mart.cells
+    found = []
+    for frame in (cells.coalesce(1), cells.repartition(7)):
+        trained = ml.train_family(frame, forest(), ml.FIRST_FEATURES, mart.cfg)
+        found.append(ml.score_cells(cells, trained.model, ml.FIRST_FEATURES).select(*keys, "predicted"))
+    assert found[0].exceptAll(found[1]).count() == 0
+
+
+def test_second_family_does_the_whole_work(mart):
+    family = ml.second_family(100, mart.cfg)
+    assert family["Gradient Boosting"].getClassifier().getMaxIter() == 100
+    assert family["Randomised Trees"].getNumTrees() == 350 and family["Randomised Trees"].getMaxDepth() == 30
+    assert family["Logistic Regression"].getMaxIter() == 1000 and family["Logistic Regression"].getRegParam() == pytest.approx(0.02)
