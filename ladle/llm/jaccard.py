@@ -1,12 +1,14 @@
 """Links between documents by the Jaccard similarity of their word shingles, with a token-group matrix.
 
-1. Documents with equal shingle sets are one node. Each block sends a fixed share of its nodes' tokens (by hash) with
-   their document counts; the answers tell how rare each is. A node needs so many tokens in common with any partner
-   that too many tokens of its own rule it out. The others keep their rarest tokens as a prefix: linked nodes share one.
-2. Nodes that share a prefix token are compared with the least of them, exactly; linked ones form groups.
-3. A token-group matrix holds the prefix tokens of each group. A node and another group that share a token qualify for
+1. Documents with equal shingle sets are one node. Each block sends its nodes' tokens with their document counts; the
+   answers tell how rare each is. A node needs so many tokens in common with any partner that too many tokens that
+   occur nowhere else rule it out. The others keep their rarest tokens as a prefix: linked nodes share one.
+2. Similar nodes form groups: each node goes to the most central of the nodes that lead its prefix tokens (the leader of
+   a token holds the commonest tokens, as the original of a family of copies does). It is compared with it, exactly.
+3. The token-group matrix holds the prefix tokens of each group. A node and another group that share a token qualify for
    the bound: the node's overlap with the union of the group's tokens must reach what a link needs. Only then is the
-   group opened and its members compared. Large groups are cut into parts by hash, each with its own union.
+   group opened and its members compared. A node that isn't linked to its own leader asks its own group, too. Large
+   groups are cut into parts by hash, each with its own union; an opened part answers with a spanning forest.
 4. Connected components of all links give the classes.
 """
 
@@ -23,12 +25,10 @@ from ladle.llm.common import (
     _P, Words, _powers, answered, ask_schema, asked, gathered, grams, mix, partitions, rows_table, runs_of, stored,
 )
 
-#: One token in SHARE, by hash, is counted over the corpus.
-SHARE = 4
 #: Members of one part of a group in the token-group matrix, about.
 PART = 512
 _ANSWER = "bucket int, block int, answer binary"
-_NODES = "doc_id long, row_key long, n long, node long, text string, prefix array<long>"
+_NODES = "doc_id long, row_key long, n long, node long, text string, prefix array<long>, center double"
 
 
 @dataclass
@@ -89,20 +89,20 @@ def _nodes(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
     return node, lead
 
 
-def _sampled(sets: Sets, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Which tokens of the block's nodes are counted, their distinct values ascending, the entry of each, and counts."""
-    chosen = np.flatnonzero((sets.tokens % np.uint64(SHARE) == 0) & lead[sets.doc])
+def _counted(sets: Sets, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens of the block's nodes, their distinct values ascending, the entry of each, and counts."""
+    chosen = np.flatnonzero(lead[sets.doc])
     distinct, entry, counts = np.unique(sets.tokens[chosen], return_inverse=True, return_counts=True)
     return chosen, distinct, entry, counts
 
 
 def _judge_tokens(table: pa.Table) -> pa.Table:
-    """For a bucket: in how many nodes each token occurs, at most 255."""
+    """For a bucket: in how many nodes each token occurs, at most 65,535."""
     blocks, (keys, counts), bounds = gathered(table, {"keys": np.uint64, "c0": np.uint8})
     order = np.argsort(keys, kind="stable")
     first = runs_of(keys[order])
-    total = np.minimum(255, np.add.reduceat(counts[order].astype(np.int64), first)).astype(np.uint8)
-    answer = np.empty(len(keys), dtype=np.uint8)
+    total = np.minimum(65_535, np.add.reduceat(counts[order].astype(np.int64), first)).astype(np.uint16)
+    answer = np.empty(len(keys), dtype=np.uint16)
     answer[order] = np.repeat(total, np.diff(np.append(first, len(keys))))
     bucket = table.column("bucket")[0].as_py()
     return rows_table([{"bucket": bucket, "block": int(b), "answer": answer[i:j].tobytes()}
@@ -115,23 +115,24 @@ def _row_key() -> Column:
 
 
 def document_nodes(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Stored: doc_id, n (set size) and node of every document; text and prefix where a node may have a partner."""
+    """Stored: doc_id, n (set size) and node of every document; text, prefix and center (mean logarithm of its tokens'
+    counts) where a node may have a partner."""
     n = partitions(docs.sparkSession)
     blocked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), "text",
                           F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(2 * n)).cast("int").alias("block"))
 
     def send(table: pa.Table) -> pa.Table:
         sets = sets_of(table.column("text"), k)
-        _, distinct, _, counts = _sampled(sets, _nodes(sets)[1])
+        _, distinct, _, counts = _counted(sets, _nodes(sets)[1])
         return rows_table(asked(table.column("block")[0].as_py(), distinct, [np.minimum(255, counts).astype(np.uint8)], n), ask_schema(1))
 
     def close(table: pa.Table, replies: pa.Table) -> pa.Table:
         sets = sets_of(table.column("text"), k)
         node, lead = _nodes(sets)
-        chosen, _, entry, _ = _sampled(sets, lead)
-        rarity = np.full(len(sets.tokens), 256, dtype=np.int64)  # tokens that aren't counted come last
+        chosen, _, entry, _ = _counted(sets, lead)
+        rarity = np.zeros(len(sets.tokens), dtype=np.int64)
         if len(chosen):
-            rarity[chosen] = answered(replies, np.uint8)[entry]
+            rarity[chosen] = answered(replies, np.uint16)[entry]
         size = np.diff(sets.at)
         spare = size - needed(size, percent)
         alone = np.bincount(sets.doc[chosen], weights=rarity[chosen] == 1, minlength=len(size)).astype(np.int64)
@@ -143,14 +144,15 @@ def document_nodes(docs: DataFrame, k: int, percent: int) -> DataFrame:
         nth = np.arange(len(mine)) - np.searchsorted(doc, doc)
         prefix = mine[(nth <= spare[doc]) & (rarity[mine] != 1)]
         at = np.searchsorted(sets.doc[prefix], np.arange(len(size) + 1))
+        center = np.bincount(sets.doc, weights=np.log(np.maximum(1, rarity)), minlength=len(size)) / np.maximum(1, size)
         texts = table.column("text").combine_chunks()
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.chunk(0)
         return pa.table([
             table.column("doc_id"), table.column("row_key"), pa.array(size.astype(np.int64)), pa.array(node.view(np.int64)),
             pa.compute.if_else(pa.array(open_), texts, pa.scalar(None, texts.type)),
-            pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(sets.tokens[prefix].view(np.int64)))],
-            names=["doc_id", "row_key", "n", "node", "text", "prefix"])
+            pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(sets.tokens[prefix].view(np.int64))), pa.array(center)],
+            names=["doc_id", "row_key", "n", "node", "text", "prefix", "center"])
 
     by_block = blocked.groupBy("block")
     counted = by_block.applyInArrow(send, ask_schema(1)).groupBy("bucket").applyInArrow(_judge_tokens, _ANSWER)
@@ -188,65 +190,87 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "component")
 
 
-def _star_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Each node with the least node of each of its prefix tokens, where sizes allow a link."""
-    least = postings.groupBy("token").agg(F.min(F.struct("node", "n")).alias("s"), F.count("*").alias("c")).filter("c > 1")
-    least = least.select("token", F.col("s.node").alias("b"), F.col("s.n").alias("n_b"))
-    return (postings.join(least, "token").filter((F.col("node") != F.col("b")) & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")))
-            .select(F.col("node").alias("a"), "b").distinct())
-
-
-def _group_links(postings: DataFrame, groups: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
-    """One link between a node and each other group that it has a link to, through the token-group matrix."""
-    placed = postings.join(groups, "node", "left").withColumn("g", F.coalesce("component", "node")).drop("component")
-    shared = placed.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
-    placed = placed.join(shared, "token")
-    matrix = placed.select("token", F.col("g").alias("other")).distinct()
-    qualified = (placed.join(matrix, "token").filter("g < other").select(F.col("node").alias("query"), F.col("other").alias("grp"), F.col("n").alias("n_query")).distinct())
-    opened = qualified.select("grp").distinct()
-    member = sets.select("node", "n").join(groups, "node", "left").select("node", "n", F.coalesce("component", "node").alias("grp")).join(opened, "grp")
-    sizes = member.groupBy("grp").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / PART)).cast("int").alias("parts"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
-    fits = ((100 * F.col("n_min") <= F.floor(F.col("n_query") * 10000 / percent)) & (100 * F.col("n_max") >= percent * F.col("n_query")))
-    queries = (qualified.join(sizes, "grp").filter(fits).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-               .join(sets.select(F.col("node").alias("query"), "text"), "query").select("grp", "part", "query", "text"))
-    wanted = queries.select("grp").distinct()
-    members = (member.join(sizes.select("grp", "parts"), "grp").join(wanted, "grp", "left_semi")
-               .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-               .join(sets.select("node", "text"), "node").select("grp", "part", "node", "text"))
+def _groups(postings: DataFrame) -> DataFrame:
+    """(node, grp): the group of each node that shares a prefix token, named by its leader."""
+    order = F.struct((-F.col("center")).alias("c"), F.col("node").alias("leader"))
+    leaders = postings.groupBy("token").agg(F.min(order).alias("s"), F.count("*").alias("many")).filter("many > 1").select("token", "s")
+    return postings.join(leaders, "token").groupBy("node").agg(F.min("s").alias("s")).select("node", F.col("s.leader").alias("grp"))
+
+
+def _group_links(postings: DataFrame, members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between nodes and the groups that they qualify for: enough to connect all that are linked.
+
+    members: (node, n, grp, settled), settled if the node is linked to its group's leader.
+    """
+    placed = postings.select("node", "token").join(members, "node")
+    matrix = placed.select("token", F.col("grp").alias("other")).distinct()
+    shared = matrix.groupBy("token").agg(F.count("*").alias("many")).filter("many > 1").select("token")
+    abroad = (placed.join(shared, "token").join(matrix, "token").filter("grp < other")
+              .select(F.col("node").alias("query"), F.col("n").alias("n_query"), F.col("other").alias("grp")).distinct())
+    home = members.filter(~F.col("settled")).select(F.col("node").alias("query"), F.col("n").alias("n_query"), "grp")
+    sizes = members.groupBy("grp").agg(
+        F.ceil(F.count("*") / PART).cast("int").alias("parts"), F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.count("*").alias("many"))
+    fits = (percent * F.col("n_min") <= 100 * F.col("n_query")) & (100 * F.col("n_max") >= percent * F.col("n_query"))
+    queries = (abroad.union(home).join(sizes, "grp").filter(fits & ((F.col("many") > 1) | (F.col("query") != F.col("grp"))))
+               .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+               .join(texts.withColumnRenamed("node", "query"), "query").select("grp", "part", "query", "text"))
+    inside = (members.join(sizes.select("grp", "parts"), "grp").join(queries.select("grp").distinct(), "grp", "left_semi")
+              .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+              .join(texts, "node").select("grp", "part", "node", "settled", "text"))
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def open_group(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return out.empty_table()
-        own, names = sets_of(left.column("text"), k), left.column("node").to_pylist()
-        union = np.unique(own.tokens)
+        own, names, settled = sets_of(left.column("text"), k), left.column("node").to_pylist(), left.column("settled").to_pylist()
+        union, member_tokens = np.unique(own.tokens, return_inverse=True)
+        size = np.diff(own.at)
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        held = [x for x, s in zip(names, settled, strict=True) if s]
+        for x in held:
+            parent[x] = held[0]
         links = []
-        for at in range(0, right.num_rows, 512):
-            some = right.slice(at, 512)
+        for at in range(0, right.num_rows, 256):
+            some = right.slice(at, 256)
             asking, ids = sets_of(some.column("text"), k), some.column("query").to_pylist()
             place = np.minimum(np.searchsorted(union, asking.tokens), len(union) - 1)
-            overlap = np.bincount(asking.doc, weights=union[place] == asking.tokens, minlength=len(ids))
-            for i in np.flatnonzero(overlap >= needed(np.diff(asking.at), percent)):
-                q = asking.of(i)
-                for j in range(len(names)):
-                    if linked(q, own.of(j), percent):
+            known = union[place] == asking.tokens
+            overlap = np.bincount(asking.doc, weights=known, minlength=len(ids))
+            n = np.diff(asking.at)
+            for i in np.flatnonzero((overlap >= needed(n, percent)) & (n > 0)):
+                mark = np.zeros(len(union), dtype=np.int64)
+                span = slice(asking.at[i], asking.at[i + 1])
+                mark[place[span][known[span]]] = 1
+                both = np.add.reduceat(mark[member_tokens], own.at[:-1])
+                for j in np.flatnonzero(100 * both >= percent * (size + n[i] - both)):
+                    x, y = root(ids[i]), root(names[j])
+                    if x != y:
+                        parent[x] = y
                         links.append({"a": ids[i], "b": names[j]})
-                        break
         return pa.Table.from_pylist(links, schema=out)
 
     keys = ["grp", "part"]
-    return members.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(open_group, "a long, b long")
+    return inside.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(open_group, "a long, b long")
 
 
 def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """doc_id, row_key, n and class (a node; meaningless where n is 0) of every row."""
     nodes = document_nodes(docs, k, percent)
-    sets = stored(nodes.filter("text is not null").select("node", "n", "text", "prefix").dropDuplicates(["node"]))
-    postings = sets.select("node", "n", F.explode("prefix").alias("token"))
-    first = stored(verified(_star_pairs(postings, percent), sets, k, percent))
-    groups = components(first)
-    second = stored(_group_links(postings, groups, sets.drop("prefix"), k, percent))
-    found = groups if second.isEmpty() else components(first.union(second))
+    sets = stored(nodes.filter("text is not null and size(prefix) > 0").select("node", "n", "text", "prefix", "center").dropDuplicates(["node"]))
+    texts = sets.select("node", "text")
+    postings = sets.select("node", "center", F.explode("prefix").alias("token"))
+    groups = stored(_groups(postings).join(sets.select("node", "n"), "node"))
+    first = stored(verified(groups.filter("node <> grp").select(F.col("node").alias("a"), F.col("grp").alias("b")), sets, k, percent))
+    settled = first.select(F.col("a").alias("node"), F.lit(True).alias("linked"))
+    members = stored(groups.join(settled, "node", "left").select(
+        "node", "n", "grp", (F.coalesce("linked", F.lit(False)) | (F.col("node") == F.col("grp"))).alias("settled")))
+    found = components(first.union(_group_links(postings, members, texts, k, percent)))
     return (nodes.select("doc_id", "row_key", "n", "node").join(found, "node", "left")
             .select("doc_id", "row_key", "n", F.coalesce("component", "node").alias("class")))
 
