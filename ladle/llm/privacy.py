@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from ladle.llm.common import stored, text_blocks, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
+#: Documents with terms to mask up to which these are broadcast (about 1 kB each); beyond it texts are joined by shuffle.
+BROADCAST_DOCUMENTS = 20_000
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
@@ -202,8 +204,10 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     columns and rows stay; a null text stays null."""
     found = find_personal_data(docs.withColumn("doc_id", F.col("doc_id").cast("long")), **options)
     keep = Window.partitionBy("doc_id").orderBy(F.desc("base"))
-    terms = (found.filter(F.col("terms").isNotNull()).withColumn("_nth", F.row_number().over(keep)).filter("_nth = 1")
-             .select(F.col("doc_id").alias("_id"), F.to_json("terms").alias("_terms"), F.col("base").alias("_base")))
+    terms = stored(found.filter(F.col("terms").isNotNull()).withColumn("_nth", F.row_number().over(keep)).filter("_nth = 1")
+                   .select(F.col("doc_id").alias("_id"), F.to_json("terms").alias("_terms"), F.col("base").alias("_base")))
+    if terms.count() <= BROADCAST_DOCUMENTS:
+        terms = F.broadcast(terms)
     both = docs.join(terms, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     names = docs.columns

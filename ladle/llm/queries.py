@@ -90,4 +90,66 @@ SQL: dict[str, str] = {
         )
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
     """,
+    "op4_similar_classes": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[ \x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS shingle
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM w WHERE len(ws) > 0)
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b USING (shingle)
+            WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * common >= 85 * (x.n + y.n - common)
+        ), reach AS (
+            SELECT doc_id AS node, doc_id AS seen FROM documents
+            UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen
+        )
+        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.seen) AS component_id
+        FROM documents d JOIN reach r ON r.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+    """,
+    "op6_benchmark_overlap": r"""
+        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS ws FROM documents
+        ), b AS (
+            SELECT item_id, ws FROM (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'),
+                lambda x: x <> '') AS ws FROM benchmark) WHERE len(ws) >= 9
+        ), masks AS (SELECT unnest([[0, 1, 3, 4, 6, 8], [0, 2, 4, 5, 7, 8]]) AS m
+        ), ds AS (
+            SELECT doc_id, i, m, array_to_string(list_transform(m, lambda j: ws[i + j]), ' ') AS seed
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 7)) AS i FROM d WHERE len(ws) >= 9), masks
+        ), bs AS (
+            SELECT item_id, i, m, array_to_string(list_transform(m, lambda j: ws[i + j]), ' ') AS seed
+            FROM (SELECT item_id, ws, unnest(range(1, len(ws) - 7)) AS i FROM b), masks
+        ), hits AS (
+            SELECT DISTINCT doc_id, item_id, ds.i - bs.i AS diagonal FROM ds JOIN bs ON ds.seed = bs.seed AND ds.m = bs.m
+        ), steps AS (
+            SELECT doc_id, item_id, diagonal, len(b.ws) AS size, j, CASE WHEN d.ws[j + diagonal] = b.ws[j] THEN 1 ELSE -2 END AS v
+            FROM hits JOIN d USING (doc_id) JOIN b USING (item_id), unnest(range(greatest(1, 1 - diagonal), least(len(b.ws), len(d.ws) - diagonal) + 1)) t(j)
+        ), sums AS (
+            SELECT *, sum(v) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY j) AS total FROM steps
+        ), runs AS (
+            SELECT *, total - least(0, coalesce(min(total) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY j
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS run FROM sums
+        )
+        SELECT doc_id, item_id, max(run)::BIGINT AS score FROM runs GROUP BY doc_id, item_id HAVING max(run) >= least(13, max(size))
+    """,
+    "op7_repeated_spans": r"""
+        WITH w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+        ), windows AS (
+            SELECT doc_id, s, md5(array_to_string(ws[s:s + 19], ' ')) AS k
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM w WHERE len(ws) >= 20)
+        ), firsts AS (SELECT k, min({'d': doc_id, 's': s}) AS f FROM windows GROUP BY k
+        ), gone AS (
+            SELECT DISTINCT doc_id, s + unnest(range(20)) AS i FROM windows JOIN firsts USING (k) WHERE {'d': doc_id, 's': s} <> f
+        ), words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+        )
+        SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)
+    """,
 }
