@@ -51,7 +51,7 @@ def report_frames(m: Mart) -> dict[str, DataFrame]:
 
 
 def payload_sections(m: Mart, root: str, fmt: str) -> dict[str, DataFrame]:
-    """Sections of the nested document, taken from the written reports where one exists."""
+    """Sections of the dashboard document, taken from the written reports where one exists."""
     def report(name: str) -> DataFrame:
         return sinks.read_report(m.spark, root, name, fmt)
 
@@ -84,6 +84,14 @@ def payload_sections(m: Mart, root: str, fmt: str) -> dict[str, DataFrame]:
         "clean_log": report("cleaning_log"),
         "recommendations": report("recommendations"),
         "model_agreement": ml.agreement(report("model_comparison")),
+        "weekday_weekend": series.weekday_weekend(m.orders),
+        "busiest_day": series.busiest_day(m.orders),
+        "outlet_peaks": series.outlet_peaks(m.orders, "order_ts"),
+        "churn": ml.churn_metrics(m.churn_scores, m.churn_model),
+        "forecast_by_location": report("forecast_by_location"),
+        "forecast_by_category": report("forecast_by_category"),
+        "spark_models": m.first_family.leaderboard(m.cells),
+        "python_models": m.second_family.leaderboard(m.cells),
     }
 
 
@@ -91,7 +99,7 @@ def run(m: Mart, out: str, fmt: str = "csv") -> None:
     """Write everything under ``out``: reports, payload, metrics, splits, model."""
     reports = f"{out}/reports"
     sinks.write_reports(report_frames(m), reports, fmt)
-    sinks.write_payload(sinks.payload(m.spark, payload_sections(m, reports, fmt)), f"{out}/payload")
+    sinks.write_sections(payload_sections(m, reports, fmt), f"{out}/payload")
     for name, engine, trained in (
             ("spark_metrics", "first family", m.first_family), ("python_metrics", "second family", m.second_family)):
         ml.metrics_document(trained, m.cells, engine, trained.seconds).write.mode("overwrite").json(f"{out}/{name}")

@@ -199,17 +199,19 @@ query("report_view", "IO12",
 
 
 def _payload(m):
-    doc = sinks.payload(m.spark, {
+    """Rows of each section as read back from its folder."""
+    root = f"{m.root}/payload"
+    sections = {
         "kpis": kpis.kpi_row(m.orders, m.wastage),
         "menu": m.menu.select("item_id", "name", "qty", "revenue", "menu_class"),
         "class_counts": items.class_counts(m.menu),
         "monthly": series.monthly(m.orders),
         "locations": kpis.outlet_economics(m.orders),
         "quality": quality.issue_counts(quality.waste_issues(m.wastage)),
-    })
-    sinks.write_payload(doc, f"{m.root}/payload")
-    return m.spark.read.schema(doc.schema).json(f"{m.root}/payload").select(
-        *[F.size(c).alias(c) for c in doc.columns if c != "version"])
+    }
+    sinks.write_sections(sections, root)
+    return m.spark.range(1).select(*[
+        m.spark.read.schema(df.schema).json(f"{root}/{name}").agg(F.count("*")).scalar().alias(name) for name, df in sections.items()])
 
 
 query("payload_sections", "IO7", _payload,

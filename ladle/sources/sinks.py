@@ -71,8 +71,8 @@ def report_view(df: DataFrame, order: list, cap: int = 2000) -> DataFrame:
 
 
 def payload(spark: SparkSession, sections: dict[str, DataFrame]) -> DataFrame:
-    """One row, one array of structs per section. Sections are finished reports of
-    bounded length (per item, outlet, day or top-n), never transaction rows."""
+    """One row, one array of structs per section, for a few sections of fixed length (a KPI row, classes,
+    months). Reports that grow with items or outlets go out with ``write_sections``."""
     row = spark.range(1).select(F.lit(1).alias("version"))
     columns = {}
     for name, df in sections.items():
@@ -81,5 +81,11 @@ def payload(spark: SparkSession, sections: dict[str, DataFrame]) -> DataFrame:
     return row.withColumns(columns)
 
 
+def write_sections(sections: dict[str, DataFrame], path: str) -> None:
+    """One JSON folder per section, written by the executors: no section passes through one task or the driver."""
+    for name, df in sections.items():
+        df.write.mode("overwrite").json(f"{path}/{name}")
+
+
 def write_payload(doc: DataFrame, path: str) -> None:
     doc.write.mode("overwrite").json(path)
