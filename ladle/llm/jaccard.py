@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.llm.common import (
-    _P, Words, _powers, answered, ask_schema, asked, gathered, grams, mix, partitions, rows_table, runs_of, stored,
+    _P, Words, _powers, answered, ask_schema, bucket_bounds, grams, mix, partitions, rows_table, runs_of, stored,
 )
 
 #: Members of one part of a group in the token-group matrix, about.
@@ -90,15 +90,35 @@ def _nodes(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(sets: Sets, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The tokens of the block's nodes, their distinct values ascending, the entry of each, and counts."""
+    """The tokens of the block's nodes, the distinct values of their upper 48 bits ascending, the entry of each, and
+    counts. Tokens that agree in these bits are counted as one: that only makes them look less rare, to all alike."""
     chosen = np.flatnonzero(lead[sets.doc])
-    distinct, entry, counts = np.unique(sets.tokens[chosen], return_inverse=True, return_counts=True)
+    distinct, entry, counts = np.unique(sets.tokens[chosen] >> np.uint64(16), return_inverse=True, return_counts=True)
     return chosen, distinct, entry, counts
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """Ascending 48-bit keys: a first one and 4-byte steps where these suffice, else 8 bytes each."""
+    steps = np.diff(keys)
+    if len(keys) and int(steps.max(initial=0)) < 1 << 32:
+        return b"4" + keys[:1].tobytes() + steps.astype(np.uint32).tobytes()
+    return b"8" + keys.tobytes()
+
+
+def _unpacked(body: bytes) -> np.ndarray:
+    if body[:1] == b"8":
+        return np.frombuffer(body, dtype=np.uint64, offset=1)
+    keys = np.empty((len(body) - 9) // 4 + 1, dtype=np.uint64)
+    keys[0] = np.frombuffer(body, dtype=np.uint64, count=1, offset=1)[0]
+    keys[1:] = np.frombuffer(body, dtype=np.uint32, offset=9)
+    return np.cumsum(keys, dtype=np.uint64)
+
+
 def _judge_tokens(table: pa.Table) -> pa.Table:
     """For a bucket: in how many nodes each token occurs, at most 65,535."""
-    blocks, (keys, counts), bounds = gathered(table, {"keys": np.uint64, "c0": np.uint8})
+    blocks, parts = np.asarray(table.column("block")), [_unpacked(x) for x in table.column("keys").to_pylist()]
+    bounds, keys = np.concatenate([[0], np.cumsum([len(x) for x in parts])]), np.concatenate(parts)
+    counts = np.frombuffer(b"".join(table.column("c0").to_pylist()), dtype=np.uint8)
     order = np.argsort(keys, kind="stable")
     first = runs_of(keys[order])
     total = np.minimum(65_535, np.add.reduceat(counts[order].astype(np.int64), first)).astype(np.uint16)
@@ -124,7 +144,9 @@ def document_nodes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     def send(table: pa.Table) -> pa.Table:
         sets = sets_of(table.column("text"), k)
         _, distinct, _, counts = _counted(sets, _nodes(sets)[1])
-        return rows_table(asked(table.column("block")[0].as_py(), distinct, [np.minimum(255, counts).astype(np.uint8)], n), ask_schema(1))
+        at, counts = bucket_bounds(distinct << np.uint64(16), n), np.minimum(255, counts).astype(np.uint8)
+        return rows_table([{"bucket": b, "block": table.column("block")[0].as_py(), "keys": _packed(distinct[i:j]), "c0": counts[i:j].tobytes()}
+                           for b, (i, j) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)) if i < j], ask_schema(1))
 
     def close(table: pa.Table, replies: pa.Table) -> pa.Table:
         sets = sets_of(table.column("text"), k)
