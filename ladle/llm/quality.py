@@ -62,6 +62,18 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(1e-9, np.linalg.norm(x, axis=1, keepdims=True))
 
 
+def leading_directions(x: np.ndarray, dimensions: int, rounds: int = 8) -> np.ndarray:
+    """The leading right singular vectors of x as columns, by subspace iteration: beside x it holds some dozens of
+    vectors only, where a full decomposition would hold several squares of the number of rows."""
+    width = min(dimensions + 16, *x.shape)
+    q = np.random.default_rng(11).standard_normal((x.shape[1], width)).astype(np.float32)
+    for _ in range(rounds):
+        q = np.linalg.qr(x.T @ np.linalg.qr(x @ q)[0])[0]
+    _, values, turned = np.linalg.svd(x @ q, full_matrices=False)
+    kept = int((values[:dimensions] > 1e-3).sum())
+    return (q @ turned[:max(1, kept)].T).astype(np.float32)
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: int = 1500, dimensions: int = 64,
         neighbours: int = 20) -> QualityModel:
     """Neighbours from labels (doc_id, label; null labels teach nothing) and the documents' texts.
@@ -80,9 +92,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
     if not len(y):
         return QualityModel(idf, np.zeros((CELLS, 1), np.float32), np.zeros((0, 1), np.float32), y, neighbours, 0.5)
     x = _dense(pairs, idf)
-    values, vectors = np.linalg.eigh((x @ x.T).astype(np.float64))
-    top = np.argsort(values)[::-1][:min(dimensions, int((values > 1e-6).sum()))]
-    projection = (x.T @ (vectors[:, top] / np.sqrt(values[top])).astype(np.float32)).astype(np.float32)
+    del pairs, sample
+    projection = leading_directions(x, dimensions)
     counts = {r[0]: r[1] for r in marked.groupBy("label").count().collect()}
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
     return QualityModel(idf, projection, _unit(x @ projection), y, neighbours, prior)
