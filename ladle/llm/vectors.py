@@ -78,8 +78,9 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
     for at in range(0, len(queries), 256):
         part = queries[at:at + 256]
         low, up = file.bounds(part)
+        low[ids[None, :] == query_ids[at:at + 256, None]] = -np.inf  # skipped, so they make nothing sure
         if low.shape[1] > k:
-            sure = np.partition(low, low.shape[1] - k - 1, axis=1)[:, low.shape[1] - k - 1]  # k + 1: one may be the query
+            sure = np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k]
         else:
             sure = np.full(len(part), -np.inf)
         for i in range(len(part)):
@@ -113,9 +114,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, bits: int = 4, qu
     n_vectors, n_queries = vectors.count(), queries.count()
     wide, high = max(1, -(-n_vectors // vector_block)), max(1, -(-n_queries // query_block))
     shape = F.size("vector").alias("dim")
-    v = vectors.select("vec_id", "vector", shape, F.pmod(F.xxhash64("vec_id"), F.lit(wide)).cast("int").alias("col"),
+    numbered = vectors.withColumn("_nth", F.monotonically_increasing_id())
+    v = numbered.select("vec_id", "vector", shape, F.pmod(F.xxhash64("vec_id", "_nth"), F.lit(wide)).cast("int").alias("col"),
                        F.explode(F.sequence(F.lit(0), F.lit(high - 1))).alias("row"))
-    q = queries.select("vec_id", "vector", shape, F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(high)).cast("int").alias("row"),
+    q = queries.select("vec_id", "vector", shape, F.pmod(F.xxhash64("vec_id", "vector", F.lit(7)), F.lit(high)).cast("int").alias("row"),
                        F.explode(F.sequence(F.lit(0), F.lit(wide - 1))).alias("col"))
     out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 

@@ -45,6 +45,27 @@ def test_top_k_with_ties_gaps_and_odd_vectors(spark):
     assert vectors.top_k(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_top_k_where_the_id_of_a_query_is_repeated(spark):
+    rng = random.Random(11)
+
+    def unit():
+        x = np.array([rng.gauss(0, 1) for _ in range(16)])
+        return [float(y) for y in x / np.linalg.norm(x)]
+
+    hot = unit()
+    rows = [(20, hot)] * 30 + [(20, unit()) for _ in range(20)] + [(i, unit()) for i in range(21, 321)]
+    v = vectors.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    kept = [(i, [int(np.floor(64 * x)) for x in e]) for i, e in rows]
+    for block in (8192, 40):
+        got = {}
+        for r in vectors.top_k(v, v.filter("vec_id % 20 = 0"), 20, vector_block=block).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+        for q in range(20, 321, 20):
+            asking = {tuple(e) for i, e in kept if i == q}
+            best = sorted((-sum(a * b for a, b in zip(x, e)), i) for x in asking for i, e in kept if i != q)[:20]
+            assert sorted(got.get(q, [])) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+
+
 def test_repeated_spans(odd, odd_rows, none):
     rows = [(r[0], r[1]) for r in odd_rows]
     want = kept_words(rows)
