@@ -1,16 +1,18 @@
 """Personal data: exact patterns, and terms that a corpus shows to give protected entities away.
 
-The patterns find e-mail, IP, card and phone values; each distinct value is a protected entity. A term near an entity
+The patterns find e-mail, IP, card and phone values; each distinct value is a protected entity, and so is each group of
+values (a domain, a network, an issuer, an exchange), for most values occur once. A term in a document of an entity
 discloses PMI(entity; term) / IC(entity) of it, estimated from document counts over the whole corpus: 1 if the term
-never occurs without the entity, 0 if the two are independent. Terms above a threshold are generalised to their class,
-those above a higher one removed. A pair counts only if enough documents and enough different surroundings of the
-entity show it, so that copies of one passage prove nothing.
+never occurs without the entity, 0 if the two are independent. The estimate is shrunken towards 0 by the number of
+different surroundings of the entity that show it, so that copies of one passage prove nothing. Terms above a threshold
+are generalised to their class, those above a higher one removed, wherever they occur.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,10 +21,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.llm.common import stored, text_blocks, texts_of
+from ladle.llm.jaccard import _row_key
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents with terms to mask up to which these are broadcast (about 1 kB each); beyond it texts are joined by shuffle.
+#: Terms to mask, and documents with some (about 1 kB each), up to which these are broadcast; beyond it, joined by shuffle.
 BROADCAST_DOCUMENTS = 20_000
+#: Bytes of text whose terms and places one batch holds.
+TERM_BYTES = 1 << 20
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
@@ -77,49 +82,66 @@ def entity_of(kind: str, value: str) -> str:
     return f"{kind}:{value.lower()}" if kind == "email" else f"{kind}:{value}" if kind == "ip" else f"{kind}:{_NOT_DIGIT.sub('', value)}"
 
 
-def near_terms(text: str, spans: list[tuple[str, int, int]], reach: int) -> list[tuple[str, str, int, int, int]]:
-    """(entity, term, start, end, surroundings) of the terms up to `reach` words before and after each span, outside all
-    spans. A term has a letter; it is looked up in lower case."""
-    taken = sorted((s, e) for _, s, e in spans)
-    out = []
+def group_of(entity: str) -> str:
+    """What an entity shares with others of its kind: a domain, the first three parts of an IP, the first six digits of
+    a card, all but the last four of a phone."""
+    kind, value = entity.split(":", 1)
+    part = value.rsplit("@", 1)[-1] if kind == "email" else value.rsplit(".", 1)[0] if kind == "ip" else value[:6] if kind == "card" else value[:-4]
+    return f"{kind} group:{part}"
+
+
+def entities_around(text: str, spans: list[tuple[str, int, int]]) -> dict[str, int]:
+    """The entities of the spans and their groups, each with a hash of the two whole words before and after the first."""
+    out: dict[str, int] = {}
+    words = [m.span() for m in _TERM.finditer(text)] if spans else []
+    starts, ends = [a for a, _ in words], [b for _, b in words]
     for kind, s, e in spans:
-        before, after = [], []
-        low = max(0, s - 40 * reach)
-        for m in _TERM.finditer(text, low, s):
-            before.append((m.start(), m.end()))
-        for m in _TERM.finditer(text, e, min(len(text), e + 40 * reach)):
-            after.append((m.start(), m.end()))
-            if len(after) >= reach:
-                break
-        near = [(a, b) for a, b in before[-reach:] + after if not any(a < y and x < b for x, y in taken)]
-        around = zlib.crc32(" ".join(text[a:b] for a, b in before[-2:] + after[:2]).lower().encode("utf-8", "replace"))
         entity = entity_of(kind, text[s:e])
-        out += [(entity, text[a:b].lower(), a, b, around) for a, b in near if any(c.isalpha() for c in text[a:b])]
+        before, after = bisect_right(ends, s), bisect_left(starts, e)
+        around = zlib.crc32(" ".join(text[a:b] for a, b in words[max(0, before - 2):before] + words[after:after + 2]).lower().encode("utf-8", "replace"))
+        for x in (entity, group_of(entity)):
+            out.setdefault(x, around)
+    return out
+
+
+def term_places(text: str, spans: list[tuple[str, int, int]]) -> dict[str, list[tuple[int, int]]]:
+    """(start, end) of each term outside all spans. A term has a letter; it is looked up in lower case."""
+    taken = sorted((s, e) for _, s, e in spans)
+    out: dict[str, list[tuple[int, int]]] = {}
+    at, reached = 0, 0
+    for m in _TERM.finditer(text):
+        a, b = m.span()
+        while at < len(taken) and taken[at][0] < b:
+            reached = max(reached, taken[at][1])
+            at += 1
+        if a >= reached and any(c.isalpha() for c in m.group()):
+            out.setdefault(m.group().lower(), []).append((a, b))
     return out
 
 
-_SCANNED = ("doc_id long, _row long, n_email long, n_ip long, n_card long, n_phone long, base string, "
-            "near array<struct<entity:string,term:string,start:int,end:int,around:long>>")
-_NEAR = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("around", pa.int64())]))
+_SCANNED = ("doc_id long, _key long, n_email long, n_ip long, n_card long, n_phone long, base string, "
+            "entities array<struct<entity:string,around:long>>, words array<string>")
+_ENTITIES = pa.list_(pa.struct([("entity", pa.string()), ("around", pa.int64())]))
 
 
-def scan_documents(docs: DataFrame, reach: int = 5) -> DataFrame:
-    """One stored row per document with its base spans and the terms near them."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("_row"), "text")
+def scan_documents(docs: DataFrame) -> DataFrame:
+    """One stored row per document with its base spans, its entities and, if it has any, the terms of its whole text."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("_key"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches):
-            counts, base, near = [], [], []
+            counts, base, entities, words = [], [], [], []
             for t in texts_of(block):
                 spans = base_spans(t)
                 n = Counter(k for k, _, _ in spans)
                 counts.append([n[k] for k in KINDS])
                 base.append(joined_spans(spans))
-                near.append([dict(zip(("entity", "term", "start", "end", "around"), x, strict=True)) for x in near_terms(t, spans, reach)])
+                entities.append([{"entity": x, "around": y} for x, y in entities_around(t, spans).items()])
+                words.append(list(term_places(t, spans)) if spans else [])
             yield pa.RecordBatch.from_arrays(
                 [block.column(0), block.column(1), *[pa.array([c[i] for c in counts], pa.int64()) for i in range(4)],
-                 pa.array(base, pa.string()), pa.array(near, _NEAR)],
-                names=["doc_id", "_row", *[f"n_{k}" for k in KINDS], "base", "near"])
+                 pa.array(base, pa.string()), pa.array(entities, _ENTITIES), pa.array(words, pa.list_(pa.string()))],
+                names=["doc_id", "_key", *[f"n_{k}" for k in KINDS], "base", "entities", "words"])
 
     return stored(rows.mapInArrow(run, _SCANNED))
 
@@ -136,7 +158,7 @@ def term_documents(docs: DataFrame) -> DataFrame:
 
         for block in text_blocks(batches):
             for t in texts_of(block):
-                held.update(set(_TERM.findall(t.lower())))
+                held.update({w.lower() for w in set(_TERM.findall(t))})
                 if len(held) > 200_000:
                     yield out()
                     held.clear()
@@ -145,35 +167,72 @@ def term_documents(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
-def disclosing_terms(scanned: DataFrame, docs: DataFrame, threshold: float, min_documents: int, min_surroundings: int) -> DataFrame:
-    """(entity, term, disclosure) of the pairs at or above the threshold."""
+def disclosing_terms(scanned: DataFrame, docs: DataFrame, threshold: float, doubt: float) -> DataFrame:
+    """(entity, term, disclosure) of the pairs at or above the threshold. Joint, entity and term counts are all of whole
+    documents. The estimate is shrunken: n different surroundings of the entity weigh n / (n + doubt)."""
+    def weight(n: Column) -> Column:
+        return n / (n + F.lit(doubt))
+
     n = float(scanned.count())
-    pairs = scanned.select("_row", F.explode("near").alias("p")).select("_row", "p.entity", "p.term", "p.around")
-    joint = (pairs.groupBy("entity", "term").agg(F.count_distinct("_row").alias("n_joint"), F.count_distinct("around").alias("n_around"))
-             .filter((F.col("n_joint") >= min_documents) & (F.col("n_around") >= min_surroundings)))
-    entities = pairs.groupBy("entity").agg(F.count_distinct("_row").alias("n_entity"))
+    held = scanned.filter(F.size("entities") > 0).withColumn("_row", F.monotonically_increasing_id())
+    held = stored(held.select("_row", "entities", "words"))
+    places = held.select("_row", F.explode("entities").alias("e")).select("_row", "e.entity", "e.around")
+    # no pair of an entity weighs more than the entity itself
+    entities = stored(places.groupBy("entity").agg(F.count("*").alias("n_entity"), F.count_distinct("around").alias("_n"))
+                      .filter(weight(F.col("_n")) >= threshold).select("entity", "n_entity"))
+    some = places.join(entities, "entity").groupBy("_row").agg(F.collect_list(F.struct("entity", "around")).alias("some"))
+    pairs = (held.select("_row", "words").join(some, "_row").select("some", F.explode("words").alias("term"))
+             .select("term", F.explode("some").alias("e")).select("e.entity", "term", "e.around"))
+    joint = (pairs.groupBy("entity", "term", "around").agg(F.count("*").alias("n"))
+             .groupBy("entity", "term").agg(F.sum("n").alias("n_joint"), F.count("*").alias("n_around"))
+             .filter(weight(F.col("n_around")) >= threshold))
     counted = joint.join(entities, "entity").join(term_documents(docs), "term")
     pmi, ic = F.ln(F.col("n_joint") * n / (F.col("n_entity") * F.col("n_term"))), F.ln(n / F.col("n_entity"))
-    return counted.select("entity", "term", F.when(ic > 0, F.least(F.lit(1.0), pmi / ic)).otherwise(F.lit(0.0)).alias("disclosure")).filter(F.col("disclosure") >= threshold)
+    disclosure = F.when(ic > 0, F.least(F.lit(1.0), pmi / ic)).otherwise(F.lit(0.0)) * weight(F.col("n_around"))
+    return counted.select("entity", "term", disclosure.alias("disclosure")).filter(F.col("disclosure") >= threshold)
 
 
-def find_personal_data(docs: DataFrame, reach: int = 5, threshold: float = 0.8, removal: float = 0.95, min_documents: int = 3,
-                       min_surroundings: int = 3) -> DataFrame:
+def _terms_to_mask(scanned: DataFrame, docs: DataFrame, threshold: float, removal: float, doubt: float) -> DataFrame:
+    """Stored: _key, terms of each row with a flagged term, wherever it stands; broadcast while few."""
+    flagged = stored(disclosing_terms(scanned, docs, threshold, doubt).groupBy("term").agg(F.max("disclosure").alias("disclosure")))
+    few = flagged.count() <= BROADCAST_DOCUMENTS
+    only = {r.term for r in flagged.select("term").collect()} if few else set()
+    if few:
+        flagged = F.broadcast(flagged)
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, TERM_BYTES):
+            keys, terms, places = [], [], []
+            for key, t in zip(block.column("_key").to_pylist(), texts_of(block), strict=True):
+                if few and only.isdisjoint(w.lower() for w in set(_TERM.findall(t))):
+                    continue
+                for term, found in term_places(t, base_spans(t)).items():
+                    if not few or term in only:
+                        keys.append(key)
+                        terms.append(term)
+                        places.append([{"start": a, "end": b} for a, b in found])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(terms, pa.string()), pa.array(places, kind)], names=["_key", "term", "places"])
+
+    everywhere = docs.select(_row_key().alias("_key"), "text").mapInArrow(run, "_key long, term string, places array<struct<start:int,end:int>>")
+    action = F.when(F.col("disclosure") >= removal, "remove").otherwise("generalise").alias("action")
+    terms = stored(everywhere.join(flagged, "term").select("_key", action, F.explode("places").alias("p"))
+                   .groupBy("_key").agg(F.array_sort(F.collect_set(F.struct("p.start", "p.end", "action"))).alias("terms")))
+    return F.broadcast(terms) if terms.count() <= BROADCAST_DOCUMENTS else terms
+
+
+def find_personal_data(docs: DataFrame, threshold: float = 0.8, removal: float = 0.95, doubt: float = 0.3) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base (base spans as text), terms (array of start, end, action) per row.
 
-    Base spans are kept whatever the terms say. terms are those within `reach` words of a base span of the document
-    whose disclosure of that entity is at least threshold: to be generalised, or removed from `removal` on. Null and
+    Base spans are kept whatever the terms say. terms are all occurrences, in all documents and outside base spans, of
+    the terms whose disclosure of some entity or group is at least threshold: to be generalised, or removed from
+    `removal` on. By default a term needs two surroundings; those of a value seen once come from its group. Null and
     empty texts have no spans; repeated rows and null ids keep a row each; an entity in every document is no secret
     (disclosure 0); further columns are left behind. Spans count code points, ends exclusive.
     """
-    scanned = scan_documents(docs, reach)
-    flagged = disclosing_terms(scanned, docs, threshold, min_documents, min_surroundings)
-    places = scanned.select("_row", F.explode("near").alias("p")).select("_row", "p.*")
-    terms = (places.join(flagged, ["entity", "term"])
-             .groupBy("_row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-             .groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
-                 "start", "end", F.when(F.col("disclosure") >= removal, "remove").otherwise("generalise").alias("action")))).alias("terms")))
-    return scanned.drop("near").join(terms, "_row", "left").drop("_row")
+    scanned = scan_documents(docs)
+    terms = _terms_to_mask(scanned, docs, threshold, removal, doubt)
+    return scanned.drop("entities", "words").join(terms, "_key", "left").drop("_key")
 
 
 def all_spans(base: str = "base", terms: str = "terms") -> Column:

@@ -230,6 +230,21 @@ def test_terms_that_give_an_entity_away(spark):
     assert all(clean[i] == t for i, t in rows if i < 300)
 
 
+def test_terms_of_values_seen_once_and_far_from_them(spark):
+    rng = random.Random(12)
+    rows = [(i, words(rng, 40)) for i in range(300)]
+    rows += [(1000 + i, f"Quintana {words(rng, 30)} ask p{i}@site.org {words(rng, 12)}") for i in range(8)]  # each value once
+    rows += [(1100, f"{words(rng, 9)} Quintana {words(rng, 9)} quintana")]  # no value at all
+    rows += [(2000 + i, f"Tessaly {words(rng, 30)} 10.1.2.3 {words(rng, 12)}") for i in range(2)]  # a value in two documents
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [(t.start, t.end) for t in r.terms or []] for r in privacy.find_personal_data(df).collect()}
+    for i, text in rows:
+        for name in ("quintana", "tessaly"):
+            places = [(n, n + len(name)) for n in range(len(text)) if text.lower().startswith(name, n)]
+            assert set(places) <= set(found[i])
+    assert all(not found[i] for i in range(300))
+
+
 def test_benchmark_overlaps(spark, none):
     rng = random.Random(7)
     items = [(i, words(rng, n)) for i, n in enumerate((9, 12, 15, 30, 60))] + [(9, None), (10, "too short"), (None, words(rng, 20))]
