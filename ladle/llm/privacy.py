@@ -17,7 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.llm.common import stored, text_blocks, texts_of
@@ -260,14 +260,11 @@ def masked(text: str, base: list[tuple[str, int, int]], terms: list[tuple[int, i
 
 def sanitise(docs: DataFrame, **options) -> DataFrame:
     """docs with personal data masked in text (see find_personal_data); n_chars, if there, follows the new text. All
-    columns and rows stay; a null text stays null."""
-    found = find_personal_data(docs.withColumn("doc_id", F.col("doc_id").cast("long")), **options)
-    keep = Window.partitionBy("doc_id").orderBy(F.desc("base"))
-    terms = stored(found.filter(F.col("terms").isNotNull()).withColumn("_nth", F.row_number().over(keep)).filter("_nth = 1")
-                   .select(F.col("doc_id").alias("_id"), F.to_json("terms").alias("_terms"), F.col("base").alias("_base")))
-    if terms.count() <= BROADCAST_DOCUMENTS:
-        terms = F.broadcast(terms)
-    both = docs.join(terms, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    columns and rows stay; a null text stays null. Terms belong to a row's id and text, so that rows of one id, or
+    without an id, are each masked by their own text."""
+    thresholds = {"threshold": 0.8, "removal": 0.95, "doubt": 0.3} | options
+    terms = _terms_to_mask(scan_documents(docs), docs, **thresholds).select(F.col("_key").alias("_id"), F.to_json("terms").alias("_terms"))
+    both = docs.withColumn("_row_key", _row_key()).join(terms, F.col("_row_key") == F.col("_id"), "left").drop("_id", "_row_key")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     names = docs.columns
 
@@ -277,13 +274,11 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
         for batch in batches:
             for block in text_blocks(iter([batch])):
                 texts = []
-                for t, more, seen in zip(block.column("text").to_pylist(), block.column("_terms").to_pylist(), block.column("_base").to_pylist(), strict=True):
+                for t, more in zip(block.column("text").to_pylist(), block.column("_terms").to_pylist(), strict=True):
                     if t is None:
                         texts.append(None)
                         continue
-                    base = base_spans(t)
-                    same = more is not None and joined_spans(base) == seen
-                    texts.append(masked(t, base, [(x["start"], x["end"], x["action"]) for x in json.loads(more)] if same else []))
+                    texts.append(masked(t, base_spans(t), [(x["start"], x["end"], x["action"]) for x in json.loads(more or "[]")]))
                 columns = {n: block.column(n) for n in names}
                 columns["text"] = pa.array(texts, pa.string())
                 if "n_chars" in columns:

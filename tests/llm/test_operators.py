@@ -245,6 +245,16 @@ def test_terms_of_values_seen_once_and_far_from_them(spark):
     assert all(not found[i] for i in range(300))
 
 
+def test_rows_of_one_id_are_masked_by_their_own_text(spark):
+    rng = random.Random(13)
+    rows = [(i, words(rng, 40)) for i in range(300)]
+    for key in (7000, None):
+        rows += [(key, f"{words(rng, 8)} Quintana ask ann@site.org {words(rng, 12)}") for _ in range(6)]
+    clean = privacy.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(clean) == len(rows) and all("Quintana" not in r.text and "@" not in r.text for r in clean)
+    assert sum("[EMAIL]" in r.text for r in clean) == 12
+
+
 def test_benchmark_overlaps(spark, none):
     rng = random.Random(7)
     items = [(i, words(rng, n)) for i, n in enumerate((9, 12, 15, 30, 60))] + [(9, None), (10, "too short"), (None, words(rng, 20))]
