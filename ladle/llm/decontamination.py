@@ -65,39 +65,45 @@ def _best_run(penalty: int) -> Column:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, min_score: int = 13,
-             penalty: int = 2) -> DataFrame:
+             penalty: int = 2, whole: int | None = None) -> DataFrame:
     """One row per document and benchmark item that overlap: doc_id, item_id, score, n_matched, n_compared, doc_start,
     item_start (in tokens) of the best run of all diagonals with a hit.
 
     An overlap has a score (matches less penalty times substitutions) of min_score, or of the whole item if that is
-    shorter. Items of fewer tokens than a mask's span are too short to say anything and never match; null and empty
-    texts neither. Rows of one doc_id give one row per item, the best. Extra columns are left behind. Documents' seeds
+    shorter; or, if whole is given, at least so many per cent of the whole item's tokens match on the diagonal. Items of
+    fewer tokens than a mask's span have no seeds and never match here (see clean_documents); null and empty texts
+    neither. Items without an id are told apart by text and give one row together. Rows of one doc_id give one row per item, the best. Extra columns are left behind. Documents' seeds
     are not shuffled while the benchmark is within BROADCAST_SEEDS, which is counted first.
     """
     base = docs.select(F.col("doc_id"), F.col("text"))
-    items = benchmark.select("item_id", tokens("text").alias("item_words")).filter(F.size("item_words") >= len(masks[0]))
-    item_seeds = seeds_of(items.withColumnRenamed("item_words", "words"), ["item_id"], masks).withColumnRenamed("position", "item_position")
+    item = F.when(F.col("item_id").isNotNull(), F.xxhash64("item_id")).otherwise(F.xxhash64(F.lit("no id"), "text"))
+    items = benchmark.select("item_id", item.alias("_item"), tokens("text").alias("item_words")).filter(F.size("item_words") >= len(masks[0]))
+    item_seeds = seeds_of(items.withColumnRenamed("item_words", "words"), ["_item"], masks).withColumnRenamed("position", "item_position")
     if item_seeds.count() <= BROADCAST_SEEDS:
         item_seeds = F.broadcast(item_seeds)
     read = base.select("doc_id", F.xxhash64("text").alias("_text"), tokens("text").alias("words"))
     diagonals = (seeds_of(read, ["doc_id", "_text"], masks).join(item_seeds, "seed")
-                 .groupBy("doc_id", "_text", "item_id", (F.col("position") - F.col("item_position")).alias("diagonal"))
+                 .groupBy("doc_id", "_text", "_item", (F.col("position") - F.col("item_position")).alias("diagonal"))
                  .agg(F.count("*").alias("n_hits")))
-    places = diagonals.groupBy("doc_id", "_text").agg(F.collect_set(F.struct("item_id", "diagonal")).alias("_places"))
+    places = diagonals.groupBy("doc_id", "_text").agg(F.collect_set(F.struct("_item", "diagonal")).alias("_places"))
     found = (
         base.withColumn("_text", F.xxhash64("text")).alias("d")
         .join(places.alias("p"), F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d._text") == F.col("p._text")))
         .select("d.doc_id", tokens("d.text").alias("words"), F.col("p._places").alias("_places"))
         .select("doc_id", "words", F.explode("_places").alias("_place"))
-        .select("doc_id", "words", "_place.item_id", "_place.diagonal")
+        .select("doc_id", "words", "_place._item", "_place.diagonal")
     )
     n = F.least(F.size("item_words"), F.size("words") - F.col("diagonal"))
     aligned = F.transform(F.sequence(F.greatest(F.lit(0), -F.col("diagonal")), n - 1), lambda j: F.struct(
         j.alias("j"), (F.get(F.col("words"), j + F.col("diagonal")) == F.get(F.col("item_words"), j)).alias("hit")))
+    enough, hits = F.col("_run.score") >= F.least(F.lit(min_score), F.col("_size")), []
+    if whole is not None:
+        hits = [F.size(F.filter("_aligned", lambda x: x["hit"])).alias("_hits")]
+        enough = enough | (100 * F.col("_hits") >= whole * F.col("_size"))
     best = (
-        found.join(items, "item_id").withColumn("_aligned", aligned)
-        .select("doc_id", "item_id", "diagonal", F.size("item_words").alias("_size"), _best_run(penalty).alias("_run"))
-        .filter(F.col("_run.score") >= F.least(F.lit(min_score), F.col("_size")))
+        found.join(items, "_item").withColumn("_aligned", aligned)
+        .select("doc_id", "item_id", "diagonal", F.size("item_words").alias("_size"), _best_run(penalty).alias("_run"), *hits)
+        .filter(enough)
     )
     top = best.groupBy("doc_id", "item_id").agg(F.max_by(
         F.struct("_run", "diagonal"), F.struct("_run.score", "_run.matched", -F.col("diagonal"))).alias("_top"))
@@ -108,8 +114,27 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
         (F.col(f"{run}.first") + F.col("_top.diagonal")).cast("long").alias("doc_start"), F.col(f"{run}.first").cast("long").alias("item_start"))
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def _whole_short_items(docs: DataFrame, benchmark: DataFrame, below: int) -> DataFrame:
+    """doc_id of the documents that hold a whole item of fewer than `below` tokens."""
+    items = benchmark.select(tokens("text").alias("words")).filter((F.size("words") > 0) & (F.size("words") < below))
+    sizes = sorted(r.n for r in items.select(F.size("words").alias("n")).distinct().collect())
+    if not sizes:
+        return docs.select("doc_id").limit(0)
+    keys = items.select(F.xxhash64("words").alias("seed")).distinct()
+
+    def runs(w: Column, n: int) -> Column:
+        return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.xxhash64(F.slice(w, i + 1, F.lit(n))))).otherwise(F.array())
+
+    seeds = F.get(F.transform(F.array("words"), lambda w: F.array_distinct(F.concat(*[runs(w, n) for n in sizes]))), 0)
+    return (docs.select("doc_id", tokens("text").alias("words")).select("doc_id", F.explode(seeds).alias("seed"))
+            .join(keys, "seed", "left_semi").select("doc_id"))
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, whole: int = 80, **options) -> DataFrame:
     """docs without those that overlap a benchmark item (see overlaps); all their columns. A null doc_id is kept only
-    if no row with a null doc_id overlaps."""
-    bad = overlaps(docs, benchmark, **options).select(F.col("doc_id").alias("_bad")).distinct()
+    if no row with a null doc_id overlaps. An item also counts if `whole` per cent of its tokens match, so that a short
+    one may have substitutions, and one of fewer tokens than a mask's span if a document holds it whole. With
+    substitutions an item is found if one of its seeds is free of them."""
+    found = overlaps(docs, benchmark, masks=masks, whole=whole, **options).select(F.col("doc_id").alias("_bad"))
+    bad = found.union(_whole_short_items(docs, benchmark, len(masks[0]))).distinct()
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")

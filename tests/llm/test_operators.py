@@ -279,6 +279,19 @@ def test_benchmark_overlaps(spark, none):
     assert decontamination.overlaps(none, b).count() == 0 and decontamination.overlaps(d, b.limit(0)).count() == 0
 
 
+def test_short_and_nameless_benchmark_items_with_substitutions(spark):
+    rng = random.Random(15)
+    sizes = ((15, (7,)), (16, (5, 10)), (21, (5, 10, 15)), (9, (1,)), (5, ()))
+    items = [(i, words(rng, n)) for i, (n, _) in enumerate(sizes)] + [(None, words(rng, 20)), (None, words(rng, 18))]
+    docs = [(100, words(rng, 80)), (101, words(rng, 10) + " " + " ".join(items[0][1].split(" ")[:10]))]
+    for i, (_, changed) in enumerate(sizes):
+        text = " ".join("zz" if n in changed else x for n, x in enumerate(items[i][1].split(" ")))
+        docs.append((i, f"{words(rng, 20)} {text} {words(rng, 20)}"))
+    docs += [(10 + i, f"{words(rng, 20)} {t}") for i, (_, t) in enumerate(items[5:])]
+    kept = decontamination.clean_documents(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id for r in kept.collect()} == {100, 101}
+
+
 def test_language(spark, sf_dir, odd, none):
     rows = queries.op1_language(spark, sf_dir).collect()
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
