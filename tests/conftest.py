@@ -28,11 +28,16 @@ def spark(tmp_path_factory):
 
 
 @pytest.fixture(scope="session")
-def mart(spark):
+def sf_dir():
     if not os.path.isdir(SF_DIR):
         pytest.skip("test tables are not on this machine")
+    return SF_DIR
+
+
+@pytest.fixture(scope="session")
+def mart(spark, sf_dir):
     from ladle.plans.mart import mart_for
-    return mart_for(spark, SF_DIR)
+    return mart_for(spark, sf_dir)
 
 
 @pytest.fixture(scope="session")

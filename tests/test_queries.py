@@ -6,7 +6,6 @@ import duckdb
 import pytest
 
 import check_queries
-from conftest import SF_DIR
 from ladle.operators import cleaning
 from ladle.plans.registry import load_all
 
@@ -15,18 +14,18 @@ CHECKED = sorted(n for n, q in QUERIES.items() if q.sql)
 
 
 @pytest.fixture(scope="module")
-def con():
+def con(sf_dir):
     c = duckdb.connect()
     c.execute("SET TimeZone='UTC'")
     for t in check_queries.TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     return c
 
 
 @pytest.mark.parametrize("name", CHECKED)
-def test_query_equals_sql(spark, mart, con, name):
+def test_query_equals_sql(spark, mart, con, sf_dir, name):
     q = QUERIES[name]
-    _, _, verdict = check_queries.compare(spark, con, SF_DIR, name, lambda s, d: q.run(mart), q.sql)
+    _, _, verdict = check_queries.compare(spark, con, sf_dir, name, lambda s, d: q.run(mart), q.sql)
     assert verdict.startswith("ok") and "TYPES" not in verdict, verdict
 
 
