@@ -1,22 +1,9 @@
 from __future__ import annotations
 
-import os
 import random
 
 import pytest
-
-SF = "/root/testdata/sf0.001"
-
-
-def words(rng: random.Random, n: int) -> str:
-    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(n))
-
-
-@pytest.fixture(scope="session")
-def sf_dir():
-    if not os.path.isdir(SF):
-        pytest.skip("test tables are not on this machine")
-    return SF
+from llm_brute import words
 
 
 @pytest.fixture(scope="session")

@@ -7,8 +7,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from brute import best_overlap, classes, kept_words, letters, personal, sha
-from conftest import words
+from llm_brute import best_overlap, classes, kept_words, letters, personal, sha, words
 
 from ladle.llm import bpe, decontamination, jaccard, language, privacy, quality, queries, sharding, substrings, token_counts, vectors
 from ladle.llm.common import Words, grams

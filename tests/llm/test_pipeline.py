@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 import public_tokenizers
-from brute import best_overlap, classes, letters, personal
+from llm_brute import best_overlap, classes, letters, personal
 from pyspark.sql import functions as F
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
