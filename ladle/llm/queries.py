@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import bpe, decontamination, jaccard, language, privacy, quality, sharding, substrings, token_counts, vectors
+from ladle.llm import (
+    bpe, conversations, decontamination, jaccard, language, privacy, quality, sharding, substrings, token_counts, tries, urls, vectors)
 from ladle.llm.common import crc, read
 
 
@@ -72,8 +73,28 @@ def op10_contiguous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(read(spark, sf_dir, "conversations")))
+
+
+#: Rules of the URL query: (verdict, host, path).
+URL_RULES = [
+    (urls.ALLOW, "org", "/"), (urls.BLOCK, "example.org", "/es/"), (urls.BLOCK, "example.org", "/en/1"),
+    (urls.ALLOW, "com", "/fr/"), (urls.BLOCK, "com", "/de/"),
+]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.prefix_trie(tries.with_shared_heads(tries.sequences(read(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language, op2_exact_top_k, op3_personal_data, op4_similar_classes, op5_token_counts, op6_benchmark_overlap, op7_repeated_spans, op8_quality, op9_byte_bpe, op10_contiguous_shards)
+    f.__name__: f for f in (op1_language, op2_exact_top_k, op3_personal_data, op4_similar_classes, op5_token_counts, op6_benchmark_overlap, op7_repeated_spans, op8_quality, op9_byte_bpe, op10_contiguous_shards,
+    op11_conversation_repair, op12_url_filter, op13_prefix_trie)
 }
 
 SQL: dict[str, str] = {
