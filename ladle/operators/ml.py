@@ -1,7 +1,8 @@
 """Model families, exact stratified splits, leaderboards, clustering and churn scoring.
 
 Everything stays distributed: splits and metrics are DataFrame plans, fits are MLlib
-estimators, and what reaches the driver is metric rows and one row per class or cluster.
+estimators or the forest and boosting of this package, and what reaches the driver is
+metric rows and one row per class or cluster.
 """
 
 from __future__ import annotations
@@ -12,11 +13,11 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier)
+    DecisionTreeClassifier, LogisticRegression, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from ladle import config as C
 from ladle.config import Config
 from ladle.functions import scalars as S
 from ladle.functions.ranking import hashed_rank_in_class
+from ladle.operators import boosting, forest
 from ladle.operators.customers import churn_labels, risk_bands, segment_rule
 
 FIRST_FEATURES = ["qty", "revenue", "margin", "rating", "wastage", "promo_dep"]
@@ -101,33 +103,25 @@ def first_family(cfg: Config = Config()) -> dict[str, object]:
     }
 
 
-def second_family(rows: int, cfg: Config = Config(), trees: int = 350) -> dict[str, object]:
-    """Boosting, randomised trees and a weakly regularised logistic regression.
-
-    MLlib boosting is binary, so it runs one-vs-rest. MLlib has no extra-trees; the
-    substitute is a forest on the full sample with random feature subsets. The inverse
-    regularisation strength 0.5 becomes ``regParam = 1 / (0.5 * rows)`` of the training rows.
-    """
-    boost = GBTClassifier(maxIter=cfg.boosting_rounds, maxDepth=3, stepSize=0.15, seed=7)
-    return {
-        "Gradient Boosting": OneVsRest(classifier=boost, parallelism=4),
-        "Randomised Trees": RandomForestClassifier(
-            numTrees=trees, maxDepth=cfg.full_tree_depth, bootstrap=False, featureSubsetStrategy="sqrt", seed=cfg.seed),
-        "Logistic Regression": LogisticRegression(maxIter=cfg.logistic_iterations, regParam=1.0 / (0.5 * max(rows, 1))),
-    }
-
-
 @dataclass
 class Trained:
-    """Outcome of one family: leaderboard rows, the chosen model and its name."""
+    """Outcome of one family: leaderboard rows, confusion counts on the test rows, the chosen model and its name.
+
+    The second family has predictions of all cells (item_id, location_id, predicted) instead of an MLlib model.
+    """
 
     board: list[dict]
-    model: PipelineModel
+    confusion: list[dict]
+    model: PipelineModel | None
     name: str
     train_rows: int
     test_rows: int
     features: list[str]
     seconds: float = 0.0
+    predictions: DataFrame | None = None
+
+    def confusion_counts(self, like: DataFrame) -> DataFrame:
+        return like.sparkSession.createDataFrame(self.confusion, "model string, truth string, guess string, n long")
 
     def leaderboard(self, like: DataFrame) -> DataFrame:
         return like.sparkSession.createDataFrame(
@@ -159,17 +153,81 @@ def train_family(samples: DataFrame, candidates: dict[str, object] | Callable[[i
         train, test = ready.filter("split = 'train'"), ready.filter("split = 'test'")
         if callable(candidates):
             candidates = candidates(sizes.get("train", 0))
-        board, fitted = [], {}
+        labels = prepare.stages[0].labels
+        board, fitted = Board(labels), {}
         for name, estimator in candidates.items():
             fitted[name] = estimator.fit(train)
-            score = scoreboard_row(fitted[name].transform(test), "label", "prediction").first().asDict()
-            board.append({"model": name, **{k: round(v, 3) for k, v in score.items()}})
-        best = max(board, key=lambda row: row["macro_f1"])["model"]
-        for row in board:
-            row["selected"] = row["model"] == best
-        decode = IndexToString(inputCol="prediction", outputCol="predicted", labels=prepare.stages[0].labels)
+            board.add(name, fitted[name].transform(test))
+        best = board.chosen()
+        decode = IndexToString(inputCol="prediction", outputCol="predicted", labels=labels)
         model = PipelineModel(stages=[*prepare.stages, fitted[best], decode])
-        return Trained(board, model, best, sizes.get("train", 0), sizes.get("test", 0), features)
+        return Trained(board.rows, board.confusion, model, best, sizes.get("train", 0), sizes.get("test", 0), features)
+
+
+class Board:
+    """Leaderboard rows and confusion counts of models, from their predictions of the test rows."""
+
+    def __init__(self, labels: list[str]):
+        self.labels, self.rows, self.confusion = labels, [], []
+
+    def add(self, name: str, predictions: DataFrame) -> None:
+        """predictions: label and prediction as class numbers."""
+        score = scoreboard_row(predictions, "label", "prediction").first().asDict()
+        self.rows.append({"model": name, **{k: round(v or 0.0, 3) for k, v in score.items()}})
+        for r in predictions.groupBy("label", "prediction").agg(F.count("*").alias("n")).collect():  # classes squared
+            self.confusion.append({"model": name, "truth": self.labels[int(r["label"])], "guess": self.labels[int(r["prediction"])], "n": r["n"]})
+
+    def chosen(self) -> str:
+        best = max(self.rows, key=lambda row: row["macro_f1"])["model"]
+        for row in self.rows:
+            row["selected"] = row["model"] == best
+        return best
+
+
+def train_second_family(samples: DataFrame, store: Callable[[str, DataFrame], DataFrame], cfg: Config = Config(),
+                        label: str = "local_class", trees: int = 350) -> Trained:
+    """Boosting, extra-trees and a weakly regularised logistic regression, compared on the stratified 30 %.
+
+    Missing features count as 0. The inverse regularisation strength 0.5 becomes ``regParam = 1 / (0.5 * rows)`` of the
+    training rows. ``store(name, df)`` writes a table and reads it back.
+    """
+    keys, features = ["item_id", "location_id"], SECOND_FEATURES
+    split = stratified_split(samples, label, keys, {"train": 70, "test": 30}, cfg.seed)
+    labels = sorted(r[0] for r in samples.select(label).distinct().collect())  # one row per class
+    # by SQL text: labels and features are few
+    numbered = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(label)) - 1
+    ready = store("second_features", split.select(
+        *keys, "split", F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]).alias("features"),
+        numbered.cast("int").alias("label")))
+    train, test = ready.filter("split = 'train'"), ready.filter("split = 'test'")
+    sizes = {r["split"]: r["n"] for r in ready.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    k = max(len(labels), 1)
+
+    def boosted() -> DataFrame:
+        model = boosting.fit(train, len(features), k, store, cfg.boosting_rounds, rate=0.15, depth=3)
+        return boosting.predict(model, ready, keys)
+
+    def extra_trees() -> DataFrame:
+        grown = forest.grow(train, len(features), k, store, trees, max_depth=cfg.full_tree_depth, seed=cfg.seed)
+        store("second_nodes", grown.nodes())
+        return forest.predict(grown, ready, keys, store)
+
+    def logistic() -> DataFrame:
+        vectors = ready.select(*keys, "split", "label", array_to_vector("features").alias("raw_features"))
+        scale = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True).fit(vectors.filter("split = 'train'"))
+        with cached(scale.transform(vectors), keys, cfg) as scaled:
+            fitted = LogisticRegression(maxIter=cfg.logistic_iterations, regParam=1.0 / (0.5 * max(sizes.get("train", 0), 1))).fit(
+                scaled.filter("split = 'train'"))
+            return store("second_logistic", fitted.transform(scaled).select(*keys, F.col("prediction").cast("int").alias("prediction")))
+
+    board, predicted = Board(labels), {}
+    for name, predict in (("Gradient Boosting", boosted), ("Extra Trees", extra_trees), ("Logistic Regression", logistic)):
+        predicted[name] = store("second_" + name.split()[0].lower(), predict().select(*keys, "prediction"))
+        board.add(name, test.join(predicted[name], keys).select("label", "prediction"))
+    best = board.chosen()
+    names = F.array(*[F.lit(v) for v in labels])
+    chosen = predicted[best].select(*keys, F.get(names, F.col("prediction")).alias("predicted"))
+    return Trained(board.rows, board.confusion, None, best, sizes.get("train", 0), sizes.get("test", 0), features, predictions=chosen)
 
 
 def score_cells(samples: DataFrame, model: PipelineModel, features: list[str], label: str = "local_class") -> DataFrame:

@@ -71,6 +71,10 @@ class Mart:
              sort_by: str | None = None) -> DataFrame:
         return store(df, f"{self.root}/{name}", partition_by, sort_by)
 
+    def keep_part(self, name: str, df: DataFrame) -> DataFrame:
+        """A table of one fit; every call has a folder of its own."""
+        return self.keep(f"parts/{name}-{uuid.uuid4().hex[:8]}", df)
+
     def close(self) -> None:
         """Remove the stored tables of this mart."""
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
@@ -176,7 +180,7 @@ class Mart:
     @cached_property
     def second_family(self) -> ml.Trained:
         started = time.time()
-        trained = ml.train_family(self.cells, lambda rows: ml.second_family(rows, self.cfg), ml.SECOND_FEATURES, self.cfg)
+        trained = ml.train_second_family(self.cells, self.keep_part, self.cfg)
         trained.seconds = round(time.time() - started, 1)
         return trained
 
@@ -187,8 +191,8 @@ class Mart:
 
     @cached_property
     def second_predictions(self) -> DataFrame:
-        return self.keep("python_predictions", ml.score_cells(
-            self.cells, self.second_family.model, ml.SECOND_FEATURES))
+        cells = self.cells.select("item_id", "location_id", "name", "local_class")
+        return self.keep("python_predictions", cells.join(self.second_family.predictions, ["item_id", "location_id"]))
 
     @cached_property
     def cluster_segments(self) -> DataFrame:

@@ -6,16 +6,17 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ladle.schemas import SCHEMAS, TABLES
 
 
 def read_csv(spark: SparkSession, folder: str, name: str, infer: bool = False,
-             columns: list[str] | None = None) -> DataFrame:
-    """One raw table. With the known schema there is no inference pass; ``columns``
+             columns: list[str] | None = None, schema: StructType | None = None) -> DataFrame:
+    """One raw table. With a known schema (its own, unless one is given) there is no inference pass; ``columns``
     are pruned in the scan."""
     reader = spark.read.option("header", True).option("escape", '"')
-    reader = reader.option("inferSchema", True) if infer else reader.schema(SCHEMAS[name])
+    reader = reader.option("inferSchema", True) if infer else reader.schema(schema or SCHEMAS[name])
     df = reader.csv(f"{folder.rstrip('/')}/{name}.csv")
     return df if columns is None else df.select(*columns)
 

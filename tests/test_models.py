@@ -86,7 +86,29 @@ def test_fits_do_not_depend_on_how_the_input_is_partitioned(mart):
 
 
 def test_second_family_does_the_whole_work(mart):
-    family = ml.second_family(100, mart.cfg)
-    assert family["Gradient Boosting"].getClassifier().getMaxIter() == 100
-    assert family["Randomised Trees"].getNumTrees() == 350 and family["Randomised Trees"].getMaxDepth() == 30
-    assert family["Logistic Regression"].getMaxIter() == 1000 and family["Logistic Regression"].getRegParam() == pytest.approx(0.02)
+    assert mart.cfg.boosting_rounds == 100 and mart.cfg.full_tree_depth == 30 and mart.cfg.logistic_iterations == 1000
+    trained = mart.second_family
+    assert [r["model"] for r in trained.board] == ["Gradient Boosting", "Extra Trees", "Logistic Regression"]
+    assert sum(r["n"] for r in trained.confusion) == 3 * trained.test_rows
+    assert trained.predictions.count() == mart.cells.count() == trained.train_rows + trained.test_rows
+    most = mart.cells.groupBy("local_class").count().agg({"count": "max"}).first()[0] / mart.cells.count()
+    assert all(r["accuracy"] > most for r in trained.board)
+
+
+def test_a_constant_answer_or_one_cluster_turns_checks_red(mart, monkeypatch):
+    """The flags of the model queries must not be true for models that say nothing."""
+    from ladle.plans import queries_learning as q
+    from ladle.plans.registry import load_all
+
+    constant = mart.cells.select("item_id", "location_id", "name", "local_class", F.lit("Low Performer").alias("predicted"))
+    assert q._predictions(constant).filter("enriched").count() == 0
+    board = [{"model": "M", "accuracy": 0.4, "macro_f1": 0.1, "weighted_f1": 0.2, "selected": True}]
+    confusion = [{"model": "M", "truth": t, "guess": "Low Performer", "n": n} for t, n in (("Low Performer", 4), ("Profit Driver", 3), ("Volume Driver", 3))]
+    row = q._board(mart, ml.Trained(board, confusion, None, "M", 0, 10, [])).first()
+    assert not row.beats_constant and not row.scores_fit
+    for name, value in (("first_predictions", constant), ("second_predictions", constant)):
+        monkeypatch.setitem(mart.__dict__, name, value)
+    assert not load_all()["model_agreement"].run(mart).first().beats_chance
+    monkeypatch.setitem(mart.__dict__, "cluster_segments", mart.customers.withColumns({
+        "cluster": (F.xxhash64("customer_id") % 6 + 5) % 6, "segment": F.lit("New")}))
+    assert load_all()["kmeans_segments"].run(mart).filter("in_a_tight_cluster").count() == 0

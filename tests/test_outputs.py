@@ -1,3 +1,4 @@
+from dataclasses import replace
 """File sources and sinks, the batch reports over CSV tables, and the streaming detector."""
 
 from datetime import datetime, timedelta
@@ -72,7 +73,8 @@ REPORTS_WITHOUT_MODELS = [
 
 def test_batch_reports_over_csv(files, monkeypatch):
     monkeypatch.setattr(batch.ml, "first_family", lambda cfg: {"Decision Tree": batch.ml.DecisionTreeClassifier(maxDepth=4)})
-    monkeypatch.setattr(batch.ml, "second_family", lambda n, cfg: {"Logistic Regression": batch.ml.LogisticRegression(maxIter=5)})
+    whole = batch.ml.train_second_family
+    monkeypatch.setattr(batch.ml, "train_second_family", lambda samples, store, cfg: whole(samples, store, replace(cfg, boosting_rounds=3), trees=5))
     frames = batch.report_frames(files)
     assert set(frames) == set(sinks.REPORTS)
     for name in REPORTS_WITHOUT_MODELS:
