@@ -54,6 +54,19 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(name: str, *taken: list[str]) -> str:
+    """The name, with underscores added until no column has it (Spark ignores case)."""
+    used = {c.lower() for columns in taken for c in columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def dealt(n: int, *columns: str) -> Column:
+    """Block number of a row, from its content and the partition that it was read in: equal rows spread, too."""
+    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(n)).cast("int")
+
+
 def crc(column: str | Column) -> Column:
     """crc32 of a column as text; null stays null."""
     return F.crc32(F.col(column).cast("string") if isinstance(column, str) else column.cast("string"))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ladle.llm.common import free_name
+
 #: Two masks of one span, each with six places that count; neither hides the other's substitutions.
 MASKS = ("110110101", "101011011")
 
@@ -65,15 +67,16 @@ def _best_run(penalty: int) -> Column:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, min_score: int = 13,
-             penalty: int = 2, whole: int | None = None) -> DataFrame:
+             penalty: int = 2, whole: int = 80) -> DataFrame:
     """One row per document and benchmark item that overlap: doc_id, item_id, score, n_matched, n_compared, doc_start,
     item_start (in tokens) of the best run of all diagonals with a hit.
 
     An overlap has a score (matches less penalty times substitutions) of min_score, or of the whole item if that is
-    shorter; or, if whole is given, at least so many per cent of the whole item's tokens match on the diagonal. Items of
-    fewer tokens than a mask's span have no seeds and never match here (see clean_documents); null and empty texts
-    neither. Items without an id are told apart by text and give one row together. Rows of one doc_id give one row per item, the best. Extra columns are left behind. Documents' seeds
-    are not shuffled while the benchmark is within BROADCAST_SEEDS, which is counted first.
+    shorter; or at least `whole` per cent of the whole item's tokens match on the diagonal, so that a short item may have
+    substitutions; or it is an item of fewer tokens than a mask's span, which has no seeds, that the document holds
+    whole. Null and empty texts and items never match. Items without an id are told apart by text and give one row
+    together. Rows of one doc_id give one row per item, the best. Extra columns are left behind. Documents' seeds are not
+    shuffled while the benchmark is within BROADCAST_SEEDS, which is counted first.
     """
     base = docs.select(F.col("doc_id"), F.col("text"))
     item = F.when(F.col("item_id").isNotNull(), F.xxhash64("item_id")).otherwise(F.xxhash64(F.lit("no id"), "text"))
@@ -96,16 +99,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
     n = F.least(F.size("item_words"), F.size("words") - F.col("diagonal"))
     aligned = F.transform(F.sequence(F.greatest(F.lit(0), -F.col("diagonal")), n - 1), lambda j: F.struct(
         j.alias("j"), (F.get(F.col("words"), j + F.col("diagonal")) == F.get(F.col("item_words"), j)).alias("hit")))
-    enough, hits = F.col("_run.score") >= F.least(F.lit(min_score), F.col("_size")), []
-    if whole is not None:
-        hits = [F.size(F.filter("_aligned", lambda x: x["hit"])).alias("_hits")]
-        enough = enough | (100 * F.col("_hits") >= whole * F.col("_size"))
+    enough = (F.col("_run.score") >= F.least(F.lit(min_score), F.col("_size"))) | (100 * F.col("_hits") >= whole * F.col("_size"))
     best = (
         found.join(items, "_item").withColumn("_aligned", aligned)
-        .select("doc_id", "item_id", "diagonal", F.size("item_words").alias("_size"), _best_run(penalty).alias("_run"), *hits)
+        .select("doc_id", "item_id", "diagonal", F.size("item_words").alias("_size"), _best_run(penalty).alias("_run"),
+                F.size(F.filter("_aligned", lambda x: x["hit"])).alias("_hits"))
         .filter(enough)
     )
-    top = best.groupBy("doc_id", "item_id").agg(F.max_by(
+    short = _short_items(base, benchmark, len(masks[0])).select(
+        "doc_id", "item_id", "diagonal", F.expr("named_struct('cur', n, 'cm', n, 'cs', 0, 'score', n, 'matched', n, 'first', 0, 'last', n - 1)").alias("_run"))
+    top = best.select("doc_id", "item_id", "diagonal", "_run").unionByName(short).groupBy("doc_id", "item_id").agg(F.max_by(
         F.struct("_run", "diagonal"), F.struct("_run.score", "_run.matched", -F.col("diagonal"))).alias("_top"))
     run = "_top._run"
     return top.select(
@@ -114,27 +117,26 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
         (F.col(f"{run}.first") + F.col("_top.diagonal")).cast("long").alias("doc_start"), F.col(f"{run}.first").cast("long").alias("item_start"))
 
 
-def _whole_short_items(docs: DataFrame, benchmark: DataFrame, below: int) -> DataFrame:
-    """doc_id of the documents that hold a whole item of fewer than `below` tokens."""
-    items = benchmark.select(tokens("text").alias("words")).filter((F.size("words") > 0) & (F.size("words") < below))
-    sizes = sorted(r.n for r in items.select(F.size("words").alias("n")).distinct().collect())
-    if not sizes:
-        return docs.select("doc_id").limit(0)
-    keys = items.select(F.xxhash64("words").alias("seed")).distinct()
+def _short_items(docs: DataFrame, benchmark: DataFrame, below: int) -> DataFrame:
+    """doc_id, item_id, diagonal and n (tokens) of whole items of fewer than `below` tokens, wherever a document holds them."""
+    items = benchmark.select("item_id", tokens("text").alias("words")).filter((F.size("words") > 0) & (F.size("words") < below))
+    sizes = sorted(r.n for r in items.select(F.size("words").alias("n")).distinct().collect())  # fewer than `below` numbers
+    keys = items.select("item_id", F.xxhash64("words").alias("seed"), F.size("words").alias("n")).distinct()
 
     def runs(w: Column, n: int) -> Column:
-        return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.xxhash64(F.slice(w, i + 1, F.lit(n))))).otherwise(F.array())
-
-    seeds = F.get(F.transform(F.array("words"), lambda w: F.array_distinct(F.concat(*[runs(w, n) for n in sizes]))), 0)
-    return (docs.select("doc_id", tokens("text").alias("words")).select("doc_id", F.explode(seeds).alias("seed"))
-            .join(keys, "seed", "left_semi").select("doc_id"))
-
-
-def clean_documents(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, whole: int = 80, **options) -> DataFrame:
-    """docs without those that overlap a benchmark item (see overlaps); all their columns. A null doc_id is kept only
-    if no row with a null doc_id overlaps. An item also counts if `whole` per cent of its tokens match, so that a short
-    one may have substitutions, and one of fewer tokens than a mask's span if a document holds it whole. With
-    substitutions an item is found if one of its seeds is free of them."""
-    found = overlaps(docs, benchmark, masks=masks, whole=whole, **options).select(F.col("doc_id").alias("_bad"))
-    bad = found.union(_whole_short_items(docs, benchmark, len(masks[0]))).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+        places = F.when(F.size(w) >= n, F.sequence(F.lit(0), F.size(w) - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.struct(i.alias("diagonal"), F.lit(n).alias("n"), F.xxhash64(F.slice(w, i + 1, F.lit(n))).alias("seed")))
+
+    none = F.array().cast("array<struct<diagonal:int,n:int,seed:bigint>>")
+    found = F.get(F.transform(F.array("words"), lambda w: F.concat(none, *[runs(w, n) for n in sizes])), 0)
+    return (docs.filter(F.lit(bool(sizes))).select("doc_id", tokens("text").alias("words")).select("doc_id", F.explode(found).alias("s"))
+            .select("doc_id", "s.*").join(keys, ["seed", "n"]).select("doc_id", "item_id", "diagonal", "n"))
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, **options) -> DataFrame:
+    """docs without those that overlap a benchmark item (see overlaps); all their columns, whatever their names. A null
+    doc_id is kept only if no row with a null doc_id overlaps. With substitutions an item is found if one of its seeds is
+    free of them."""
+    bad = free_name("_bad", docs.columns)
+    found = overlaps(docs, benchmark, masks=masks, **options).select(F.col("doc_id").alias(bad)).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col(bad)), "left_anti")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.llm.common import (
-    _P, Words, _powers, answered, ask_schema, bucket_bounds, grams, mix, partitions, rows_table, runs_of, stored,
+    _P, Words, _powers, answered, ask_schema, bucket_bounds, dealt, free_name, grams, mix, partitions, rows_table, runs_of, stored,
 )
 
 #: Members of one part of a group in the token-group matrix, about.
@@ -139,7 +139,7 @@ def document_nodes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     counts) where a node may have a partner."""
     n = partitions(docs.sparkSession)
     blocked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), "text",
-                          F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(2 * n)).cast("int").alias("block"))
+                          dealt(2 * n, "doc_id", "text").alias("block"))
 
     def send(table: pa.Table) -> pa.Table:
         sets = sets_of(table.column("text"), k)
@@ -314,9 +314,8 @@ def similar_classes(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row of each class: that of the least doc_id (a null one only where a class has no other), of these
     the least by a hash of the text; of repeated rows one. Rows without words all stay, once each."""
-    placed = _classes(docs, k, percent)
+    placed, key = _classes(docs, k, percent), free_name("_key", docs.columns)
     kept = (placed.filter("n > 0").groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("s"))
-            .select(F.col("s.row_key").alias("_key"))
-            .union(placed.filter("n = 0").select(F.col("row_key").alias("_key"))))
-    keyed = docs.withColumn("_key", _row_key())
-    return keyed.join(kept.distinct(), "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+            .select(F.col("s.row_key").alias(key)).union(placed.filter("n = 0").select(F.col("row_key").alias(key))))
+    keyed = docs.withColumn(key, _row_key())
+    return keyed.join(kept.distinct(), key, "left_semi").dropDuplicates([key]).drop(key)

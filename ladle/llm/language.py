@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +14,6 @@ from ladle.llm.common import text_blocks, texts_of
 from ladle.llm.features import bounded_sample, code_points, document_frequencies, gram_counts, inverse_frequencies, sparse_rows
 
 BITS, LONGEST = 15, 3
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -112,7 +110,7 @@ def fit(rows: DataFrame, label: str = "lang", per_language: int = 600, epochs: i
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """docs with lang_pred and score: the likeliest language of each whole text and its calibrated probability.
 
-    `und` with score 0 for a null text, one without a letter, or a model that learned no language. Equal probabilities
+    `und` with score 0 for a null text, one without a letter (of a Unicode class L; numerals aren't letters), or a model that learned no language. Equal probabilities
     go to the first language by name. Only the text is looked at; columns of these names are replaced. The model's size
     is fixed by its cells and the number of languages.
     """
@@ -123,7 +121,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
         for block in text_blocks(batches, text=text):
             names, scores = [], []
             for t in texts_of(block, text):
-                if not model.languages or not _LETTER.search(t):
+                if not model.languages or not any(map(str.isalpha, t)):
                     names.append("und")
                     scores.append(0.0)
                     continue

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import stored, text_blocks, texts_of
+from ladle.llm.common import free_name, stored, text_blocks, texts_of
 from ladle.llm.jaccard import _row_key
 
 KINDS = ("email", "ip", "card", "phone")
@@ -263,8 +263,9 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     columns and rows stay; a null text stays null. Terms belong to a row's id and text, so that rows of one id, or
     without an id, are each masked by their own text."""
     thresholds = {"threshold": 0.8, "removal": 0.95, "doubt": 0.3} | options
-    terms = _terms_to_mask(scan_documents(docs), docs, **thresholds).select(F.col("_key").alias("_id"), F.to_json("terms").alias("_terms"))
-    both = docs.withColumn("_row_key", _row_key()).join(terms, F.col("_row_key") == F.col("_id"), "left").drop("_id", "_row_key")
+    own, same, found = (free_name(name, docs.columns) for name in ("_row_key", "_id", "_terms"))
+    terms = _terms_to_mask(scan_documents(docs), docs, **thresholds).select(F.col("_key").alias(same), F.to_json("terms").alias(found))
+    both = docs.withColumn(own, _row_key()).join(terms, F.col(own) == F.col(same), "left").drop(same, own)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     names = docs.columns
 
@@ -274,7 +275,7 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
         for batch in batches:
             for block in text_blocks(iter([batch])):
                 texts = []
-                for t, more in zip(block.column("text").to_pylist(), block.column("_terms").to_pylist(), strict=True):
+                for t, more in zip(block.column("text").to_pylist(), block.column(found).to_pylist(), strict=True):
                     if t is None:
                         texts.append(None)
                         continue

@@ -134,9 +134,12 @@ SQL: dict[str, str] = {
     """,
     "op6_benchmark_overlap": r"""
         WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS ws FROM documents
-        ), b AS (
-            SELECT item_id, ws FROM (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'),
-                lambda x: x <> '') AS ws FROM benchmark) WHERE len(ws) >= 9
+        ), items AS (
+            SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS ws FROM benchmark
+        ), b AS (SELECT * FROM items WHERE len(ws) >= 9
+        ), short AS (
+            SELECT doc_id, item_id, len(i.ws)::BIGINT AS score FROM d JOIN items i ON len(i.ws) BETWEEN 1 AND 8
+                AND contains(' ' || array_to_string(d.ws, ' ') || ' ', ' ' || array_to_string(i.ws, ' ') || ' ')
         ), masks AS (SELECT unnest([[0, 1, 3, 4, 6, 8], [0, 2, 4, 5, 7, 8]]) AS m
         ), ds AS (
             SELECT doc_id, i, m, array_to_string(list_transform(m, lambda j: ws[i + j]), ' ') AS seed
@@ -154,8 +157,12 @@ SQL: dict[str, str] = {
         ), runs AS (
             SELECT *, total - least(0, coalesce(min(total) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY j
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS run FROM sums
+        ), found AS (
+            SELECT doc_id, item_id, max(run)::BIGINT AS score FROM runs GROUP BY doc_id, item_id, diagonal
+            HAVING max(run) >= least(13, max(size)) OR 100 * count_if(v = 1) >= 80 * max(size)
+            UNION ALL SELECT * FROM short
         )
-        SELECT doc_id, item_id, max(run)::BIGINT AS score FROM runs GROUP BY doc_id, item_id HAVING max(run) >= least(13, max(size))
+        SELECT doc_id, item_id, max(score)::BIGINT AS score FROM found GROUP BY doc_id, item_id
     """,
     "op7_repeated_spans": r"""
         WITH w AS (

@@ -19,32 +19,33 @@ def contiguous_shards(rows: DataFrame, size: str, order: list[str], shards: int)
     Rows are range-partitioned by the order (the row's input position last, so that equal rows split) and stored.
     Each partition's total gives its offset in the global prefix sum; one row per partition is all that the window
     over totals sees. A row goes to the shard in which its middle byte lies, so a shard misses its equal target by one
-    row at most. Nulls sort first; an empty table gives no rows; a size of null or below 1 counts as 1.
+    row at most. Nulls sort first; an empty table gives no rows; a size of null or below 1 counts as 1. Other columns are
+    kept whatever their names; columns named shard or slot are replaced.
     """
+    kept = [c for c in rows.columns if c.lower() not in ("shard", "slot")]
     weight = F.greatest(F.coalesce(F.col(size), F.lit(1)), F.lit(1)).cast("long")
-    keyed = rows.withColumn("_weight", weight).withColumn("_tie", F.monotonically_increasing_id())
-    ranged = (keyed.repartitionByRange(partitions(rows.sparkSession), *[F.col(c) for c in order], F.col("_tie"))
-              .withColumn("_part", F.spark_partition_id()))
-    fixed = stored(ranged)
-    totals = fixed.groupBy("_part").agg(F.sum("_weight").alias("_bytes"), F.count("*").alias("_rows"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    names = [f"order_{i}" for i in range(len(order))]
+    keyed = rows.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), *[F.col(f"`{c}`").alias(n) for c, n in zip(order, names, strict=True)],
+                        weight.alias("weight"), F.monotonically_increasing_id().alias("tie"))
+    fixed = stored(keyed.repartitionByRange(partitions(rows.sparkSession), *names, "tie").withColumn("part", F.spark_partition_id()))
+    totals = fixed.groupBy("part").agg(F.sum("weight").alias("bytes"), F.count("*").alias("rows"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = totals.select(
-        "_part", F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)).alias("_bytes_before"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
-        F.sum("_bytes").over(everything).alias("_total"))
-    inside = Window.partitionBy("_part").orderBy(*[F.col(c).asc_nulls_first() for c in order], "_tie")
+        "part", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("bytes_before"),
+        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_before"), F.sum("bytes").over(everything).alias("total"))
+    inside = Window.partitionBy("part").orderBy(*[F.col(c).asc_nulls_first() for c in names], "tie")
     placed = (
-        fixed.withColumn("_start", F.sum("_weight").over(inside) - F.col("_weight"))
-        .withColumn("_nth", F.row_number().over(inside) - 1)
-        .join(offsets, "_part")
-        .withColumn("_start", F.col("_start") + F.col("_bytes_before"))
-        .withColumn("_nth", F.col("_nth") + F.col("_rows_before"))
-        .withColumn("shard", F.expr(f"cast(((2 * _start + _weight) * {int(shards)}) div (2 * _total) as int)"))
+        fixed.withColumn("start", F.sum("weight").over(inside) - F.col("weight"))
+        .withColumn("nth", F.row_number().over(inside) - 1)
+        .join(offsets, "part")
+        .withColumn("start", F.col("start") + F.col("bytes_before"))
+        .withColumn("nth", F.col("nth") + F.col("rows_before"))
+        .withColumn("shard", F.expr(f"cast(((2 * start + weight) * {int(shards)}) div (2 * total) as int)"))
     )
-    firsts = placed.groupBy("shard").agg(F.min("_nth").alias("_first"))
-    return (placed.join(firsts, "shard").withColumn("slot", (F.col("_nth") - F.col("_first")).cast("long"))
-            .select(*rows.columns, "shard", "slot"))
+    firsts = placed.groupBy("shard").agg(F.min("nth").alias("first"))
+    return (placed.join(firsts, "shard").withColumn("slot", (F.col("nth") - F.col("first")).cast("long"))
+            .select(*[F.col("row")[c].alias(c) for c in kept], "shard", "slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ladle.llm.bpe import ragged
 from ladle.llm.common import (
-    _P, _P_INVERSE, Words, _powers, answered, ask_schema, asked, gathered, grams, mix, partitions, rows_table, runs_of,
+    _P, _P_INVERSE, Words, _powers, answered, ask_schema, asked, dealt, gathered, grams, mix, partitions, rows_table, runs_of,
 )
 
 SEED = 11
@@ -178,7 +178,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, text: str = "text") -> Dat
         raise ValueError("the window must be longer than a seed")
     n = partitions(docs.sparkSession)
     blocked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"),
-                          F.pmod(F.xxhash64("doc_id", F.octet_length(text)), F.lit(2 * n)).cast("int").alias("block"))
+                          dealt(2 * n, "doc_id", text).alias("block"))
 
     def send_seeds(table: pa.Table) -> pa.Table:
         walk = walk_of(table.column("text"), window)

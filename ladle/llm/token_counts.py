@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import answered, partitions, rows_table, texts_of
+from ladle.llm.common import answered, dealt, partitions, rows_table, texts_of
 
 #: A pre-token: spaces with what follows them up to the next space or line break, or a run of line breaks.
 _PRE_TOKEN = re.compile(r"\n+| *[^ \n]+| +")
@@ -33,8 +33,11 @@ def _splits_at_spaces(path: str) -> bool:
 
 
 def pre_tokens(text: str) -> list[str]:
-    """Pre-tokens of a text, after the space that the model sets before it. An empty text has none."""
-    return _PRE_TOKEN.findall(" " + text) if text else []
+    """Pre-tokens of a text, after the space that the model sets before it. An empty text has none.
+
+    The model writes spaces as U+2581, so that sign in a text is a space to it and joins with its neighbours.
+    """
+    return _PRE_TOKEN.findall(" " + text.replace("\u2581", " ")) if text else []
 
 
 def piece_counts(words: list[str], path: str) -> list[int]:
@@ -85,7 +88,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """
     n = partitions(docs.sparkSession)
     blocked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"),
-                          F.pmod(F.xxhash64("doc_id", F.octet_length(text)), F.lit(n)).cast("int").alias("block"))
+                          dealt(n, "doc_id", text).alias("block"))
 
     def send(table: pa.Table) -> pa.Table:
         words, bucket, _, _ = _distinct(texts_of(table), n)

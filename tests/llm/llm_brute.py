@@ -94,3 +94,20 @@ def best_overlap(doc, item, penalty=2):
             run = max(run, 0) + (1 if doc[j + d] == item[j] else -penalty)
             best = max(best, run)
     return best
+
+
+def overlap_score(doc, item, penalty=2, enough=13, whole=80):
+    """The best score of the diagonals that count; None if none does. Items under nine words count only if held whole."""
+    if len(item) < 9:
+        return len(item) if any(doc[i:i + len(item)] == item for i in range(len(doc))) else None
+    best = None
+    for d in range(-len(item), len(doc)):
+        run = top = hits = 0
+        for j in range(max(0, -d), min(len(item), len(doc) - d)):
+            hit = doc[j + d] == item[j]
+            hits += hit
+            run = max(run, 0) + (1 if hit else -penalty)
+            top = max(top, run)
+        if (top >= min(enough, len(item)) or 100 * hits >= whole * len(item)) and (best is None or top > best):
+            best = top
+    return best

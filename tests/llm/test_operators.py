@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from llm_brute import best_overlap, classes, kept_words, letters, personal, sha, words
+from llm_brute import classes, kept_words, letters, overlap_score, personal, sha, words
 
 from ladle.llm import bpe, decontamination, jaccard, language, privacy, quality, queries, sharding, substrings, token_counts, vectors
 from ladle.llm.common import Words, grams
@@ -270,7 +270,7 @@ def test_benchmark_overlaps(spark, none):
     for i, t in docs:
         for j, s in items:
             a, c = letters(t), letters(s)
-            if len(c) >= 9 and (score := best_overlap(a, c)) >= min(13, len(c)):
+            if c and (score := overlap_score(a, c)):
                 want[i, j] = score
     assert got == want and (20, 4) in got
     kept = decontamination.clean_documents(d, b)
@@ -287,8 +287,16 @@ def test_short_and_nameless_benchmark_items_with_substitutions(spark):
         text = " ".join("zz" if n in changed else x for n, x in enumerate(items[i][1].split(" ")))
         docs.append((i, f"{words(rng, 20)} {text} {words(rng, 20)}"))
     docs += [(10 + i, f"{words(rng, 20)} {t}") for i, (_, t) in enumerate(items[5:])]
-    kept = decontamination.clean_documents(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    assert {r.doc_id for r in kept.collect()} == {100, 101}
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {r.doc_id for r in decontamination.clean_documents(d, b).collect()} == {100, 101}
+    found = {(r.doc_id, r.item_id): r for r in decontamination.overlaps(d, b).collect()}
+    assert {k: r.score for k, r in found.items() if k[1] is not None} == {(i, i): overlap_score(letters(docs[2 + i][1]), letters(items[i][1])) for i in range(5)}
+    assert (found[4, 4].score, found[4, 4].doc_start, found[4, 4].item_start, found[4, 4].n_compared) == (5, 20, 0, 5)
+    decontamination.BROADCAST_SEEDS, bound = 0, decontamination.BROADCAST_SEEDS  # the shuffled join gives the same
+    try:
+        assert {(r.doc_id, r.item_id): r for r in decontamination.overlaps(d, b).collect()} == found
+    finally:
+        decontamination.BROADCAST_SEEDS = bound
 
 
 def test_language(spark, sf_dir, odd, none):
