@@ -103,7 +103,11 @@ class Slice:
 
     def __init__(self, filters: Filters, fact: DataFrame, menu: DataFrame, locations: DataFrame,
                  promotions: DataFrame, segments: DataFrame, wastage: DataFrame, categories: DataFrame,
-                 channels: DataFrame, store: Callable[[str, DataFrame], DataFrame] | None = None):
+                 channels: DataFrame, store: Callable[[str, DataFrame], DataFrame] | None = None,
+                 outlets: DataFrame | None = None, profile: DataFrame | None = None):
+        """outlets: waste_pct and rating per location_id; profile: one row per segment. Both are figures of the whole
+        table that reports of a slice carry along; without them those columns are left out."""
+        self._outlets, self._profile = outlets, profile
         self._store = store or (lambda name, df: df)
         self.filters = filters
         self.menu = menu
@@ -182,17 +186,21 @@ class Slice:
         return kpis.category_revenue(self.fact, self.categories)
 
     def items(self) -> DataFrame:
-        """Item economics on the slice with the item's menu-wide attributes."""
+        """Item economics on the slice with the item's menu-wide attributes (0, false or the id where the menu has none)."""
         here = self.fact.groupBy("item_id").agg(
             F.sum("quantity").alias("qty"), F.sum("revenue").cast(S.MONEY).alias("revenue"),
-            F.sum("profit").cast(S.MONEY).alias("profit"))
-        fixed = self.menu.select("item_id", "name", "menu_class", "rating", "wastage_pct")
+            F.sum("profit").cast(S.MONEY).alias("profit"), F.count_distinct("order_id").alias("orders"))
+        numbers = ["base_price", "food_cost", "rating", "repeat_pct", "wastage_pct", "promo_dependency", "trend",
+                   "demand_score", "profit_score"]
+        names = self.categories.select("category_id", F.col("category_name").alias("category"))
+        fixed = self.menu.select("item_id", "name", "category_id", "menu_class", "slow_mover", *numbers).join(names, "category_id", "left")
         margin = F.coalesce(S.ratio(F.col("profit"), F.col("revenue")), F.lit(0.0))
         return here.join(fixed, "item_id", "left").select(
-            "item_id", F.coalesce("name", "item_id").alias("name"), "qty", "revenue",
-            S.half_even(margin, 3).alias("margin"), "profit",
+            "item_id", F.coalesce("name", "item_id").alias("name"), F.coalesce("category", F.lit("")).alias("category"),
+            "qty", "orders", "revenue", S.half_even(margin, 3).alias("margin"), "profit",
             F.coalesce("menu_class", F.lit(C.LOW_PERFORMER)).alias("menu_class"),
-            F.coalesce("rating", F.lit(0.0)).alias("rating"), F.coalesce("wastage_pct", F.lit(0.0)).alias("wastage_pct"),
+            F.coalesce("slow_mover", F.lit(False)).alias("slow_mover"),
+            *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in numbers],
         ).orderBy(F.desc("revenue"), "item_id")
 
     def class_counts(self) -> DataFrame:
@@ -204,6 +212,10 @@ class Slice:
 
     def location_table(self) -> DataFrame:
         names = self.locations.select("location_id", "name")
+        carried = []
+        if self._outlets is not None:
+            names = names.join(self._outlets.select("location_id", "waste_pct", "rating"), "location_id", "left")
+            carried = [F.coalesce(c, F.lit(0.0)).alias(c) for c in ("waste_pct", "rating")]
         return (
             kpis.outlet_economics(self.orders).filter("revenue <> 0")
             .join(kpis.outlet_customers(self.orders), "location_id", "left")
@@ -212,7 +224,7 @@ class Slice:
             .join(names, "location_id", "left")
             .select("location_id", "name", "revenue", "profit_pct", "aov",
                     F.coalesce("customers", F.lit(0)).alias("customers"),
-                    F.coalesce("repeat_pct", F.lit(0.0)).alias("repeat_pct"), "star", "drag", "channel",
+                    F.coalesce("repeat_pct", F.lit(0.0)).alias("repeat_pct"), *carried, "star", "drag", "channel",
                     "channel_share")
             .orderBy(F.desc("revenue"), "location_id"))
 
@@ -220,13 +232,16 @@ class Slice:
         return kpis.channel_mix(self.orders, self.channels)
 
     def segment_mix(self) -> DataFrame:
-        """Customers of the slice per segment, fixed order, zero filled."""
+        """Customers of the slice per segment, fixed order, zero filled, beside the whole segment's profile."""
         buyers = self.orders.filter(~F.col("is_guest")).select("customer_id").distinct()
         counts = buyers.join(self.segments.select("customer_id", "segment"), "customer_id").agg(
             *[F.count_if(F.col("segment") == s).alias(s) for s in C.SEGMENTS])
         rows = F.array(*[F.struct(F.lit(n).alias("position"), F.lit(s).alias("segment"),
                                   F.col(f"`{s}`").alias("customers")) for n, s in enumerate(C.SEGMENTS, 1)])
-        return counts.select(F.explode(rows).alias("r")).select("r.*")
+        mix = counts.select(F.explode(rows).alias("r")).select("r.*")
+        if self._profile is None:
+            return mix
+        return mix.join(self._profile.drop("position", "customers"), "segment", "left").orderBy("position")
 
 
 def filter_options(menu: DataFrame, locations: DataFrame, categories: DataFrame, promotions: DataFrame,

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.config import Config
-from ladle.operators import asof, basket, cleaning, customers, fact, items, ml, series
+from ladle.operators import asof, basket, cleaning, customers, fact, items, kpis, ml, series
 from ladle.sources.readers import read_raw
 from ladle.sources.star import StarTables
 
@@ -169,6 +169,16 @@ class Mart:
         """Customer features with the rule-based segment."""
         return self.keep("rule_segments", customers.rule_segments(self.customers))
 
+    @cached_property
+    def outlet_figures(self) -> DataFrame:
+        """Waste share and mean rating of every outlet, over the whole table."""
+        return self.keep("outlet_figures", kpis.outlet_waste_rating(self.orders, self.wastage, self.ratings))
+
+    @cached_property
+    def rule_profile(self) -> DataFrame:
+        """Profile of the rule-based segments, over all customers."""
+        return self.keep("rule_profile", customers.segment_profile(self.segments, self.orders))
+
     # -- models -------------------------------------------------------------
     @cached_property
     def first_family(self) -> ml.Trained:

@@ -219,8 +219,8 @@ query(
     "item_economics", "M1 M2", lambda m: rounded(items.economics(m.order_items)),
     "SELECT item_id, qty, revenue, cost, profit, orders, promo_lines, lines, round(margin, 6) AS margin, "
     "promo_dependency FROM economics")
-query("item_ratings", "M3", lambda m: items.rating_summary(m.ratings).filter("item_id is not null"),
-      "SELECT * FROM rating_summary WHERE item_id IS NOT NULL")
+query("item_ratings", "M3", lambda m: items.rating_summary(m.ratings.fillna("unknown", ["item_id"])),
+      "SELECT * REPLACE (coalesce(item_id, 'unknown') AS item_id) FROM rating_summary")
 query("item_waste", "M4", lambda m: items.item_waste(m.inventory, m.wastage), "SELECT * FROM item_waste")
 query("item_repeat", "M5", lambda m: items.repeat_share(m.order_items), "SELECT * FROM repeat_share")
 query("item_trend", "M6", lambda m: items.trend(m.order_items), "SELECT * FROM item_trend")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ladle.functions import scalars as S
 from ladle.operators import anomalies, commerce, customers, kpis, recommend, series, slicing
+from ladle.plans.queries_customers import PROFILE_CHANNEL, PROFILE_SQL
 from ladle.plans.registry import query, rounded
 
 # -- KPIs -------------------------------------------------------------------
@@ -326,9 +327,9 @@ query("margin_collapses", "A2", lambda m: anomalies.margin_collapses(m.outlet_da
       "SELECT * FROM collapses", _DAYS, _COLLAPSE)
 query("order_outliers", "A3", lambda m: anomalies.order_outliers(m.orders, m.cfg), "SELECT * FROM outliers", _OUTLIERS)
 query("rating_groups_per_hour", "A4",
-      lambda m: anomalies.rating_burst_groups(m.ratings.filter("item_id is not null"), 1, "hour"),
-      """SELECT item_id, date_trunc('hour', rating_ts) AS bin, stars, count(*) AS n FROM ratings
-         WHERE item_id IS NOT NULL GROUP BY item_id, date_trunc('hour', rating_ts), stars""")
+      lambda m: anomalies.rating_burst_groups(m.ratings.fillna("unknown", ["item_id"]), 1, "hour"),
+      """SELECT coalesce(item_id, 'unknown') AS item_id, date_trunc('hour', rating_ts) AS bin, stars, count(*) AS n FROM ratings
+         GROUP BY item_id, date_trunc('hour', rating_ts), stars""")
 query("rating_bursts", "A4", lambda m: anomalies.rating_bursts(m.ratings, m.cfg, "day", "kind"),
       "SELECT * FROM bursts", _bursts_sql("day", "kind", "ratings"))
 query("anomaly_report", "A5", lambda m: anomalies.anomaly_report(_found(m), m.cfg), "SELECT * FROM report", *_FOUND)
@@ -422,7 +423,7 @@ def _slice(m, which):
     """The slice with its filtered facts stored once for all of its reports."""
     return m.remember(f"slice_{which}", lambda: slicing.Slice(
         _CHOSEN[which][0], m.fact, m.menu, m.locations, m.promotions, m.segments, m.wastage, m.categories,
-        m.channels, store=lambda name, df: m.keep(f"slice_{which}_{name}", df)))
+        m.channels, store=lambda name, df: m.keep(f"slice_{which}_{name}", df), outlets=m.outlet_figures, profile=m.rule_profile))
 
 
 def _slice_views(which):
@@ -435,12 +436,13 @@ def _slice_views(which):
           FROM part_fact GROUP BY order_id, location_id, customer_id, is_guest, channel, order_date)""",
         f"part_waste AS (SELECT * FROM stock WHERE {_WASTE_SLICE[which]})",
         """part_items AS (
-          SELECT item_id, m.name, p.qty, p.revenue,
+          SELECT item_id, m.name, c.category_name AS category, p.qty, p.orders, p.revenue,
                  round_even(coalesce(CAST(p.profit AS DOUBLE) / nullif(CAST(p.revenue AS DOUBLE), 0), 0), 3) + 0 AS margin,
-                 p.profit, m.menu_class, m.rating, m.wastage_pct
+                 p.profit, m.menu_class, m.slow_mover, CAST(m.base_price AS DOUBLE) AS base_price, CAST(m.food_cost AS DOUBLE) AS food_cost,
+                 m.rating, m.repeat_pct, m.wastage_pct, m.promo_dependency, m.trend, m.demand_score, m.profit_score
           FROM (SELECT item_id, CAST(sum(quantity) AS BIGINT) AS qty, CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue,
-                       CAST(sum(profit) AS DECIMAL(18,2)) AS profit FROM part_fact GROUP BY item_id) p
-          LEFT JOIN menu m USING (item_id))""")
+                       CAST(sum(profit) AS DECIMAL(18,2)) AS profit, count(DISTINCT order_id) AS orders FROM part_fact GROUP BY item_id) p
+          LEFT JOIN menu m USING (item_id) LEFT JOIN categories c USING (category_id))""")
 
 
 query("filter_options", "Q1",
@@ -484,29 +486,32 @@ query("slice_dates_daily", "Q7 T1", lambda m: _slice(m, "dates").daily(),
 query("slice_place_category_revenue", "Q7 K3", lambda m: _slice(m, "place").category_revenue(),
       """SELECT category_name AS category, CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue FROM part_fact
          JOIN categories USING (category_id) GROUP BY category_name""", *_slice_views("place"))
-query("slice_dates_items", "Q7 M1", lambda m: _slice(m, "dates").items(), "SELECT * FROM part_items",
+query("slice_dates_items", "Q7 M1", lambda m: rounded(_slice(m, "dates").items()),
+      "SELECT * REPLACE (round(demand_score, 6) AS demand_score, round(profit_score, 6) AS profit_score) FROM part_items",
       *_slice_views("dates"))
 query("slice_place_class_counts", "Q7 M11", lambda m: _slice(m, "place").class_counts(),
       """SELECT k AS menu_class, count(menu_class) AS items
          FROM (SELECT unnest(['Profit Driver', 'Volume Driver', 'Hidden Opportunity', 'Low Performer']) AS k)
          LEFT JOIN part_items ON menu_class = k GROUP BY k""", *_slice_views("place"))
 query("slice_dates_locations", "Q7 L1 L2 L3", lambda m: _slice(m, "dates").location_table(),
-      """SELECT location_id, name, revenue, profit_pct, aov, customers, repeat_pct, star, drag, channel, channel_share
-         FROM outlets""", *_slice_views("dates"),
-      _OUTLETS.replace("order_facts", "part_orders").replace("FROM fact ", "FROM part_fact "))
+      """SELECT p.location_id, p.name, p.revenue, p.profit_pct, p.aov, p.customers, p.repeat_pct, o.waste_pct, o.rating,
+                p.star, p.drag, p.channel, p.channel_share
+         FROM part_outlets p LEFT JOIN outlets o USING (location_id)""", *_slice_views("dates"), _OUTLETS,
+      _OUTLETS.replace("outlets AS", "part_outlets AS", 1).replace("order_facts", "part_orders").replace("FROM fact ", "FROM part_fact "))
 query("slice_place_channels", "Q7 K4", lambda m: _slice(m, "place").channel_mix(),
       """SELECT c.channel, count(o.order_id) AS orders FROM (SELECT DISTINCT channel FROM raw_orders) c
          LEFT JOIN part_orders o ON c.channel = o.channel GROUP BY c.channel""", *_slice_views("place"))
 query("slice_tier_most_wasted", "Q7 W5", lambda m: _slice(m, "tier").most_wasted(),
       "SELECT item_id, name, wastage_pct FROM part_items ORDER BY wastage_pct DESC, revenue DESC, item_id LIMIT 6",
       *_slice_views("tier"))
-query("slice_dates_segments", "Q8 J11", lambda m: _slice(m, "dates").segment_mix(),
-      """SELECT CAST(position AS INTEGER) AS position, k AS segment, count(s.customer_id) AS customers
-         FROM (SELECT unnest(['High-Value Loyal', 'Frequent', 'Promotion-Driven', 'Occasional', 'New', 'At-Risk']) AS k,
-                      unnest([1, 2, 3, 4, 5, 6]) AS position)
-         LEFT JOIN (SELECT DISTINCT customer_id FROM part_orders WHERE NOT is_guest) b ON true
-         LEFT JOIN segments s ON s.customer_id = b.customer_id AND s.segment = k
-         GROUP BY position, k""", *_slice_views("dates"))
+query("slice_dates_segments", "Q8 J11", lambda m: _slice(m, "dates").segment_mix().drop("play"),
+      f"""SELECT CAST(n.position AS INTEGER) AS position, n.k AS segment, n.customers, p.* EXCLUDE (segment, customers, position)
+         FROM (SELECT position, k, count(s.customer_id) AS customers
+               FROM (SELECT unnest(['High-Value Loyal', 'Frequent', 'Promotion-Driven', 'Occasional', 'New', 'At-Risk']) AS k,
+                            unnest([1, 2, 3, 4, 5, 6]) AS position)
+               LEFT JOIN (SELECT DISTINCT customer_id FROM part_orders WHERE NOT is_guest) b ON true
+               LEFT JOIN segments s ON s.customer_id = b.customer_id AND s.segment = k
+               GROUP BY position, k) n LEFT JOIN ({PROFILE_SQL}) p ON p.segment = n.k""", *_slice_views("dates"), PROFILE_CHANNEL)
 query("active_filters", "Q10",
       lambda m: reduce(DataFrame.unionByName, [
           _slice(m, w).meta().select(F.lit(w).alias("slice"), F.lit(f.active).alias("active"), "lines")

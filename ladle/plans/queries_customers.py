@@ -34,8 +34,7 @@ _CHANNEL = """channels AS (
           GROUP BY segment, channel)) WHERE rn = 1)"""
 query("segment_top_channel", "C10 J10", lambda m: customers.top_channel(m.segments, m.orders),
       "SELECT * FROM channels", _CHANNEL)
-query("segment_profile", "C9 C17", lambda m: customers.segment_profile(m.segments, m.orders).drop("play"),
-      """SELECT segment, customers, CAST(trunc(p.recency) AS INTEGER) AS recency, round_even(p.frequency, 1) AS frequency,
+PROFILE_SQL = """SELECT segment, customers, CAST(trunc(p.recency) AS INTEGER) AS recency, round_even(p.frequency, 1) AS frequency,
                 CAST(floor(p.monetary) AS BIGINT) AS monetary, round_even(p.aov, 2) AS aov,
                 round_even(p.categories, 1) AS categories, CAST(round_even(p.promo_share, 0) AS INTEGER) AS promo_share,
                 CAST(floor(greatest(3, least(88, p.recency / longest * 100))) AS INTEGER) AS churn_pct, channel,
@@ -44,7 +43,9 @@ query("segment_profile", "C9 C17", lambda m: customers.segment_profile(m.segment
          FROM (SELECT segment, count(*) AS customers, avg(recency) AS recency, avg(frequency) AS frequency,
                       avg(CAST(monetary AS DOUBLE)) AS monetary, avg(avg_order_value) AS aov,
                       avg(categories) AS categories, avg(promo_share) AS promo_share FROM segments GROUP BY segment) p
-         LEFT JOIN channels USING (segment), (SELECT greatest(1, max(recency)) AS longest FROM segments)""", _CHANNEL)
+         LEFT JOIN channels USING (segment), (SELECT greatest(1, max(recency)) AS longest FROM segments)"""
+PROFILE_CHANNEL = _CHANNEL
+query("segment_profile", "C9 C17", lambda m: customers.segment_profile(m.segments, m.orders).drop("play"), PROFILE_SQL, _CHANNEL)
 
 
 def _cohorts(weeks):

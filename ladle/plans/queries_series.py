@@ -16,8 +16,8 @@ def _daily(m):
 
 
 def _votes(m):
-    """The hour-bearing table: orders carry a day only, ratings a time of day."""
-    return m.ratings.filter("location_id is not null")
+    """The hour-bearing table: orders carry a day only, ratings a time of day. Ratings without an outlet are outlet -1."""
+    return m.ratings.fillna(-1, ["location_id"])
 
 
 query("daily_series", "T1", lambda m: series.daily(m.orders), "SELECT * FROM daily")
@@ -46,7 +46,7 @@ query("outlet_peaks", "T7", lambda m: series.outlet_peaks(_votes(m), "rating_ts"
           JOIN (SELECT location_id, hour FROM (SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY n DESC, hour) AS rn
                 FROM (SELECT location_id, hour(rating_ts) AS hour, count(*) AS n FROM votes GROUP BY 1, 2)) WHERE rn = 1) h
             USING (location_id)""",
-      "votes AS (SELECT * FROM ratings WHERE location_id IS NOT NULL)")
+      "votes AS (SELECT * REPLACE (coalesce(location_id, -1) AS location_id) FROM ratings)")
 query("orders_heatmap", "T8 J11 S11", lambda m: series.heatmap(m.ratings, "rating_ts"),
       f"""SELECT CAST(d AS INTEGER) AS dow, CAST(b AS INTEGER) AS bucket, {_DAYS}[d + 1] AS day,
                  {_MARKS}[b + 1] AS hour_mark, count(rating_id) AS orders
