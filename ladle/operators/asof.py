@@ -23,6 +23,8 @@ def resolve(probes: DataFrame, history: DataFrame, by: str, probe_time: str, his
        month is its own window group; the value carried in from earlier months comes
        from a summary of one row per key and month. No group spans a key's whole life.
 
+    Of several values of one key and time the greatest counts.
+
     The result joins back to the probes with an equi-join. It has at most one row per
     key and time, so stored as a table it is often small enough to be broadcast.
     """
@@ -31,11 +33,11 @@ def resolve(probes: DataFrame, history: DataFrame, by: str, probe_time: str, his
     known = history.select(by, F.col(history_time).alias("__t"), F.lit(0).alias("__side"), F.col(value).alias("__v"))
     line = known.unionByName(asked).withColumn("__month", F.date_trunc("month", "__t").cast("date"))
 
-    summary = line.groupBy(by, "__month").agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col("__t"))).alias("__last"))
+    summary = line.groupBy(by, "__month").agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.struct("__t", "__v"))).alias("__last"))
     before = Window.partitionBy(by).orderBy("__month").rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(by, "__month", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
 
-    inside = Window.partitionBy(by, "__month").orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(by, "__month").orderBy("__t", "__side", "__v").rowsBetween(Window.unboundedPreceding, 0)
     return (
         line.withColumn("__here", F.last("__v", ignorenulls=True).over(inside))
         .filter("__side = 1")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ladle import config as C
 from ladle.config import Config
 from ladle.functions import scalars as S
-from ladle.functions.ranking import cells_for, exact_rank, first_per_group, quintile, value_cuts
+from ladle.functions.ranking import first_per_group
+from ladle.functions.selection import keys_at_ranks, step_of
 
 
 def customer_features(fact: DataFrame, orders: DataFrame, analysis_end: Column) -> DataFrame:
@@ -40,22 +41,20 @@ def customer_features(fact: DataFrame, orders: DataFrame, analysis_end: Column)
 
 
 def rfm_scores(customers: DataFrame) -> DataFrame:
-    """Scores 1..5 for recency (reversed), frequency and spend, ranked first-come by id."""
-    numeric = dict(customers.dtypes)["customer_id"] != "string"
-    tie = "customer_id" if numeric else "__tie"
-    df = customers if numeric else customers.withColumn("__tie", F.xxhash64("customer_id"))
-    measures = ["recency", "frequency", "monetary"]
-    rows = df.count()
-    cuts = value_cuts(df, measures + [tie], cells_for(rows))
-    source = df
-    for measure in measures:
-        df = exact_rank(df, measure, tie, f"__{measure}", cuts, source)
-    n = F.lit(rows)
-    scored = df.withColumns({
-        "R": F.lit(6) - quintile(F.col("__recency"), n),
-        "F": quintile(F.col("__frequency"), n),
-        "M": quintile(F.col("__monetary"), n),
-    })
+    """Scores 1..5 for recency (reversed), frequency and spend: quintiles of the rank by (measure, id).
+
+    Only the four edges of each measure are searched for; rows then compare themselves with them, so no row is ranked
+    and nothing is shuffled for the scores.
+    """
+    rows = customers.count()
+    ranks = [j * (rows - 1) // 5 + 1 for j in range(1, 5)]
+
+    def quintile_of(measure: str) -> Column:
+        key = F.struct(F.col(measure).alias("value"), F.col("customer_id").alias("id"))
+        edges = keys_at_ranks(customers, key, ranks) if rows else []
+        return step_of(key, edges, customers.select(key.alias("k")).schema["k"].dataType) + 1
+
+    scored = customers.withColumns({"R": F.lit(6) - quintile_of("recency"), "F": quintile_of("frequency"), "M": quintile_of("monetary")})
     mean = (F.col("R") + F.col("F") + F.col("M")) / 3
     return scored.withColumn("rfm_score", F.round(mean).cast("int")).select(
         *customers.columns, "R", "F", "M", "rfm_score")

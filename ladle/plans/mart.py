@@ -164,6 +164,10 @@ class Mart:
         return self.keep("customer_features", customers.customer_features(
             self.order_items, self.orders, self.analysis_end))
 
+    @cached_property
+    def rfm(self) -> DataFrame:
+        return self.keep("rfm_scores", customers.rfm_scores(self.customers))
+
     @cached_property
     def segments(self) -> DataFrame:
         """Customer features with the rule-based segment."""

@@ -20,9 +20,9 @@ _RFM = """rfm AS (
     FROM customers c))"""
 query("customer_features", "C1", lambda m: m.customers, "SELECT * FROM customers")
 query("rfm_scores", "C2 C3",
-      lambda m: customers.rfm_scores(m.customers).select("customer_id", "R", "F", "M", "rfm_score"),
+      lambda m: m.rfm.select("customer_id", "R", "F", "M", "rfm_score"),
       'SELECT customer_id, r AS "R", f AS "F", m AS "M", rfm_score FROM rfm', _RFM)
-query("rfm_distribution", "C4 J11", lambda m: customers.score_distribution(customers.rfm_scores(m.customers)),
+query("rfm_distribution", "C4 J11", lambda m: customers.score_distribution(m.rfm),
       """SELECT CAST(s AS INTEGER) AS score, count(rfm_score) AS customers
          FROM (SELECT unnest([1, 2, 3, 4, 5]) AS s) LEFT JOIN rfm ON rfm_score = s GROUP BY s""", _RFM)
 query("rule_segments", "C8", lambda m: m.segments.select("customer_id", "segment"),
