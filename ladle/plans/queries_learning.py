@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ladle import config as C
+from ladle.functions import scalars as S
 from ladle.operators import customers, items, kpis, ml, quality, series
 from ladle.plans.registry import query, rounded
 from ladle.sources import readers, sinks
@@ -163,10 +164,10 @@ def _spread(m):
     rows = m.cluster_segments.select("cluster", *[F.col(f).cast("double").alias(f) for f in ml.CLUSTER_FEATURES])
     inside = rows.groupBy("cluster").agg(F.count("*").alias("n"), *[F.var_pop(f).alias(f) for f in ml.CLUSTER_FEATURES])
     total = rows.agg(*[F.var_pop(f).alias(f"t_{f}") for f in ml.CLUSTER_FEATURES], F.count("*").alias("all"))
-    sums = inside.agg(F.count("*").alias("clusters"), *[F.sum(F.col("n") * F.col(f)).alias(f) for f in ml.CLUSTER_FEATURES])
-    shares = [F.coalesce(F.when(total[f"t_{f}"] > 0, F.col(f) / (total["all"] * total[f"t_{f}"])), F.lit(0.0)) for f in ml.CLUSTER_FEATURES]
-    return sums.join(total.withColumn("one", F.lit(6)), F.col("clusters") == F.col("one"), "left").select(
-        "clusters", (sum(shares[1:], shares[0]) / len(shares)).alias("inside"))
+    sums = inside.agg(*[F.sum(F.col("n") * F.col(f)).alias(f) for f in ml.CLUSTER_FEATURES])
+    both = S.as_columns(sums, total)
+    shares = [F.coalesce(F.when(F.col(f"t_{f}") > 0, F.col(f) / (F.col("all") * F.col(f"t_{f}"))), F.lit(0.0)) for f in ml.CLUSTER_FEATURES]
+    return both.select((sum(shares[1:], shares[0]) / len(shares)).alias("inside"))
 
 
 def _segments(m):
