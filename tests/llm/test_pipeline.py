@@ -57,5 +57,5 @@ def test_registered(sf_dir):
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {x[:x.index("_") + 1] for x in names if x.startswith("op") and x[2].isdigit()}
+    assert {f"op{n}_" for n in range(1, 14)} == {x[:x.index("_") + 1] for x in names if x.startswith("op") and x[2].isdigit()}
     assert "pipeline" in names and "pipeline" not in entry.oracle_sql()
