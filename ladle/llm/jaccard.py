@@ -8,7 +8,8 @@
 3. The token-group matrix holds the prefix tokens of each group. A node and another group that share a token qualify for
    the bound: the node's overlap with the union of the group's tokens must reach what a link needs. Only then is the
    group opened and its members compared. A node that isn't linked to its own leader asks its own group, too. Large
-   groups are cut into parts by hash, each with its own union; an opened part answers with a spanning forest.
+   groups are cut into parts by hash, each with its own union, and their queries likewise, so that a task compares about
+   PART members with PART queries, however large a group is; each comparison answers with a spanning forest.
 4. Connected components of all links give the classes.
 """
 
@@ -25,7 +26,7 @@ from ladle.llm.common import (
     _P, Words, _powers, answered, ask_schema, bucket_bounds, dealt, free_name, grams, mix, partitions, rows_table, runs_of, stored,
 )
 
-#: Members of one part of a group in the token-group matrix, about.
+#: Members of one part of a group in the token-group matrix, and queries compared with them at once, about.
 PART = 512
 _ANSWER = "bucket int, block int, answer binary"
 _NODES = "doc_id long, row_key long, n long, node long, text string, prefix array<long>, center double"
@@ -233,12 +234,17 @@ def _group_links(postings: DataFrame, members: DataFrame, texts: DataFrame, k: i
     sizes = members.groupBy("grp").agg(
         F.ceil(F.count("*") / PART).cast("int").alias("parts"), F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.count("*").alias("many"))
     fits = (percent * F.col("n_min") <= 100 * F.col("n_query")) & (100 * F.col("n_max") >= percent * F.col("n_query"))
-    queries = (abroad.union(home).join(sizes, "grp").filter(fits & ((F.col("many") > 1) | (F.col("query") != F.col("grp"))))
-               .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-               .join(texts.withColumnRenamed("node", "query"), "query").select("grp", "part", "query", "text"))
-    inside = (members.join(sizes.select("grp", "parts"), "grp").join(queries.select("grp").distinct(), "grp", "left_semi")
-              .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-              .join(texts, "node").select("grp", "part", "node", "settled", "text"))
+    asked_of = stored(abroad.union(home).join(sizes, "grp").filter(fits & ((F.col("many") > 1) | (F.col("query") != F.col("grp"))))
+                      .select("grp", "parts", "query"))
+    cuts = asked_of.groupBy("grp").agg(F.first("parts").alias("parts"), F.ceil(F.count("*") / PART).cast("int").alias("cuts"))
+    queries = (asked_of.join(cuts.select("grp", "cuts"), "grp")
+               .select("grp", "query", F.pmod(F.xxhash64("query"), F.col("cuts")).cast("int").alias("cut"),
+                       F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+               .join(texts.select(F.col("node").alias("query"), F.col("text").alias("asking")), "query").select("grp", "part", "cut", "query", "asking"))
+    inside = (members.join(cuts, "grp")
+              .select("node", "settled", "grp", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"),
+                      F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"))
+              .join(texts, "node").select("grp", "part", "cut", "node", "settled", "text"))
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def open_group(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -260,7 +266,7 @@ def _group_links(postings: DataFrame, members: DataFrame, texts: DataFrame, k: i
         links = []
         for at in range(0, right.num_rows, 256):
             some = right.slice(at, 256)
-            asking, ids = sets_of(some.column("text"), k), some.column("query").to_pylist()
+            asking, ids = sets_of(some.column("asking"), k), some.column("query").to_pylist()
             place = np.minimum(np.searchsorted(union, asking.tokens), len(union) - 1)
             known = union[place] == asking.tokens
             overlap = np.bincount(asking.doc, weights=known, minlength=len(ids))
@@ -277,7 +283,7 @@ def _group_links(postings: DataFrame, members: DataFrame, texts: DataFrame, k: i
                         links.append({"a": ids[i], "b": names[j]})
         return pa.Table.from_pylist(links, schema=out)
 
-    keys = ["grp", "part"]
+    keys = ["grp", "part", "cut"]
     return inside.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(open_group, "a long, b long")
 
 

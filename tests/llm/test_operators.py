@@ -112,6 +112,22 @@ def test_similar_classes_of_chains_and_families(spark):
     assert {tuple(r) for r in got} == set(classes(rows))
 
 
+def test_queries_of_a_large_group_are_cut(spark, monkeypatch):
+    """A third of all rows just under the threshold of their template: parts and cuts of two rows lose no link."""
+    monkeypatch.setattr(jaccard, "PART", 2)
+    rng = random.Random(12)
+    base = words(rng, 60).split(" ")
+    rows = []
+    for i in range(40):
+        text = list(base)
+        for _ in range(rng.randint(1, 4)):
+            text[rng.randrange(len(text))] = words(rng, 1)
+        rows.append((len(rows), " ".join(text)))
+    rows += [(len(rows) + i, words(rng, 30)) for i in range(80)]
+    got = jaccard.similar_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in got} == set(classes(rows))
+
+
 def test_groups_are_opened_where_their_token_union_qualifies(spark):
     """Two groups that only the token-group matrix can join: their least nodes aren't linked, two members are."""
     rng = random.Random(2)
