@@ -85,7 +85,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
     idf = inverse_frequencies(df, n)
     marked = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
     chosen = bounded_sample(marked, "label", per_label)
-    rows = docs.select(F.col("doc_id"), "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    # the sample is bounded by per_label: documents stay where they are; of a repeated id the least text teaches
+    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+            .groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label"))
     sample = sparse_rows(rows, "label", counted)
     y = np.asarray(sample.column("label"), dtype=np.float32)
     pairs = [(np.asarray(c), np.asarray(k)) for c, k in zip(sample.column("cells").to_numpy(), sample.column("counts").to_numpy(), strict=True)]
