@@ -50,6 +50,21 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def joined_hot(rows: DataFrame, table: DataFrame, key: str, many: str) -> DataFrame:
+    """Inner join of rows with a stored table that holds each key once and, as `many`, the number of its rows (left out
+    of the result).
+
+    A key with more than 1 / (4 n) of all counted rows, for n shuffle partitions, is hot. There are fewer than 4 n such
+    keys, whatever the data: they are broadcast, and their rows stay where they are. All other rows are shuffled by key.
+    """
+    n = partitions(rows.sparkSession)
+    total = table.agg(F.sum(many)).first()[0] or 0
+    hot = F.col(many) * (4 * n) > total
+    heads = F.broadcast(table.filter(hot).drop(many))
+    usual = rows.join(heads.select(key), key, "left_anti").join(table.filter(~hot).drop(many), key)
+    return rows.join(heads, key).unionByName(usual)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.llm.common import (
-    _P, Words, _powers, answered, ask_schema, bucket_bounds, dealt, free_name, grams, mix, partitions, rows_table, runs_of, stored,
+    _P, Words, _powers, answered, ask_schema, bucket_bounds, dealt, free_name, grams, joined_hot, mix, partitions, rows_table, runs_of, stored,
 )
 
 #: Members of one part of a group in the token-group matrix, and queries compared with them at once, about.
@@ -216,8 +216,8 @@ def components(links: DataFrame) -> DataFrame:
 def _groups(postings: DataFrame) -> DataFrame:
     """(node, grp): the group of each node that shares a prefix token, named by its leader."""
     order = F.struct((-F.col("center")).alias("c"), F.col("node").alias("leader"))
-    leaders = postings.groupBy("token").agg(F.min(order).alias("s"), F.count("*").alias("many")).filter("many > 1").select("token", "s")
-    return postings.join(leaders, "token").groupBy("node").agg(F.min("s").alias("s")).select("node", F.col("s.leader").alias("grp"))
+    leaders = stored(postings.groupBy("token").agg(F.min(order).alias("s"), F.count("*").alias("many")).filter("many > 1"))
+    return joined_hot(postings.select("node", "token"), leaders, "token", "many").groupBy("node").agg(F.min("s").alias("s")).select("node", F.col("s.leader").alias("grp"))
 
 
 def _group_links(postings: DataFrame, members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -234,14 +234,17 @@ def _group_links(postings: DataFrame, members: DataFrame, texts: DataFrame, k: i
     sizes = members.groupBy("grp").agg(
         F.ceil(F.count("*") / PART).cast("int").alias("parts"), F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.count("*").alias("many"))
     fits = (percent * F.col("n_min") <= 100 * F.col("n_query")) & (100 * F.col("n_max") >= percent * F.col("n_query"))
-    asked_of = stored(abroad.union(home).join(sizes, "grp").filter(fits & ((F.col("many") > 1) | (F.col("query") != F.col("grp"))))
-                      .select("grp", "parts", "query"))
-    cuts = asked_of.groupBy("grp").agg(F.first("parts").alias("parts"), F.ceil(F.count("*") / PART).cast("int").alias("cuts"))
-    queries = (asked_of.join(cuts.select("grp", "cuts"), "grp")
+    asking = stored(abroad.union(home))
+    asked = asking.groupBy("grp").agg(F.count("*").alias("asked"))
+    asked_of = stored(joined_hot(asking, stored(sizes.join(asked, "grp")), "grp", "asked")
+                      .filter(fits & ((F.col("many") > 1) | (F.col("query") != F.col("grp")))).select("grp", "parts", "many", "query"))
+    cuts = stored(asked_of.groupBy("grp").agg(F.first("parts").alias("parts"), F.first("many").alias("many"), F.count("*").alias("asked"))
+                  .withColumn("cuts", F.ceil(F.col("asked") / PART).cast("int")))
+    queries = (joined_hot(asked_of.select("grp", "parts", "query"), cuts.select("grp", "cuts", "asked"), "grp", "asked")
                .select("grp", "query", F.pmod(F.xxhash64("query"), F.col("cuts")).cast("int").alias("cut"),
                        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
                .join(texts.select(F.col("node").alias("query"), F.col("text").alias("asking")), "query").select("grp", "part", "cut", "query", "asking"))
-    inside = (members.join(cuts, "grp")
+    inside = (joined_hot(members, cuts.select("grp", "parts", "cuts", "many"), "grp", "many")
               .select("node", "settled", "grp", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"),
                       F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"))
               .join(texts, "node").select("grp", "part", "cut", "node", "settled", "text"))
@@ -287,8 +290,8 @@ def _group_links(postings: DataFrame, members: DataFrame, texts: DataFrame, k: i
     return inside.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(open_group, "a long, b long")
 
 
-def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, row_key, n and class (a node; meaningless where n is 0) of every row."""
+def _classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, row_key, n and node of every row, and (node, component) of the nodes that have links."""
     nodes = document_nodes(docs, k, percent)
     sets = stored(nodes.filter("text is not null and size(prefix) > 0").select("node", "n", "text", "prefix", "center").dropDuplicates(["node"]))
     texts = sets.select("node", "text")
@@ -299,8 +302,7 @@ def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     members = stored(groups.join(settled, "node", "left").select(
         "node", "n", "grp", (F.coalesce("linked", F.lit(False)) | (F.col("node") == F.col("grp"))).alias("settled")))
     found = components(first.union(_group_links(postings, members, texts, k, percent)))
-    return (nodes.select("doc_id", "row_key", "n", "node").join(found, "node", "left")
-            .select("doc_id", "row_key", "n", F.coalesce("component", "node").alias("class")))
+    return nodes.select("doc_id", "row_key", "n", "node"), found
 
 
 def similar_classes(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
@@ -311,17 +313,22 @@ def similar_classes(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
     have a component's least id, or null; repeated rows keep a row each; further columns are left behind. percent is
     above 50. Hashes have 64 bits; every link is checked on whole sets, computed from the texts.
     """
-    placed = _classes(docs, k, percent)
-    least = placed.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    return placed.join(least, "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    rows, found = _classes(docs, k, percent)
+    per_node = rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("own"), F.count("*").alias("many"))
+    classed = stored(per_node.join(found, "node", "left").select("node", "own", "many", F.coalesce("component", "node").alias("class")))
+    least = stored(classed.groupBy("class").agg(F.min("own").alias("component_id"), F.count("*").alias("nodes")))
+    named = stored(joined_hot(classed, least, "class", "nodes").select("node", "many", "component_id"))
+    return (joined_hot(rows.filter("n > 0"), named, "node", "many").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+            .union(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))))
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row of each class: that of the least doc_id (a null one only where a class has no other), of these
     the least by a hash of the text; of repeated rows one. Rows without words all stay, once each."""
-    placed, key = _classes(docs, k, percent), free_name("_key", docs.columns)
-    kept = (placed.filter("n > 0").groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("s"))
-            .select(F.col("s.row_key").alias(key)).union(placed.filter("n = 0").select(F.col("row_key").alias(key))))
+    (rows, found), key = _classes(docs, k, percent), free_name("_key", docs.columns)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("s")
+    kept = (rows.filter("n > 0").groupBy("node").agg(first).join(found, "node", "left")
+            .groupBy(F.coalesce("component", "node").alias("class")).agg(F.min("s").alias("s"))
+            .select(F.col("s.row_key").alias(key)).union(rows.filter("n = 0").select(F.col("row_key").alias(key))))
     keyed = docs.withColumn(key, _row_key())
     return keyed.join(kept.distinct(), key, "left_semi").dropDuplicates([key]).drop(key)

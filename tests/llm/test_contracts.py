@@ -7,6 +7,7 @@ from llm_brute import words
 from pyspark.sql import functions as F
 
 from ladle.llm import bpe, common, decontamination, jaccard, language, privacy, sharding, substrings, token_counts
+from ladle.llm.common import joined_hot, partitions, stored
 from ladle.llm.queries import public_tokenizers
 
 
@@ -89,3 +90,15 @@ def test_equal_rows_without_an_id_are_dealt_to_many_blocks(spark):
     kept = substrings.remove_repeats(df)
     assert kept.count() == 4000 and kept.select("n_removed", "kept_text").distinct().count() == 1
     assert jaccard.similar_classes(df).filter("n_shingles = 27").count() == 4000
+
+
+def test_hot_keys_are_joined_where_their_rows_are(spark):
+    """A key with a third of all rows joins by broadcast, the others by a shuffle; each row comes once, none of an unknown key."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 1000 == 1, F.lit(None)).otherwise(F.col("id")).alias("k"), "id")
+    counts = stored(rows.filter("k is not null and k <> 2").groupBy("k").agg(F.count("*").alias("many"), F.min("id").alias("least")))
+    got = joined_hot(rows, counts, "k", "many")
+    assert sorted(r.id for r in got.collect()) == [i for i in range(3000) if i % 3 == 0 or (i % 1000 != 1 and i != 2)]
+    assert got.columns == ["k", "id", "least"] and got.filter("k = -1 and least = 0").count() == 1000
+    assert got.filter("k <> -1 and least <> id").count() == 0
+    hot = counts.filter(F.col("many") * (4 * partitions(spark)) > counts.agg(F.sum("many")).first()[0])
+    assert hot.count() < 4 * partitions(spark)
