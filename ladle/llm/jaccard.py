@@ -202,12 +202,17 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node with a link; the component is its least node. Each round takes the least label
     of the neighbours and then the label of that label; rounds are stored, and their number is that of a logarithm."""
     edges = stored(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = stored(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component")).select(F.col("a").alias("node"), "component"))
+    degrees = stored(edges.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("degree")))
+    labels = stored(degrees.select(F.col("a").alias("node"), F.least("least", "a").alias("component")))
+    degrees = degrees.select(F.col("a").alias("node"), "degree")
     while True:
-        told = edges.join(labels, edges.b == labels.node).groupBy("a").agg(F.min("component").alias("least"))
-        lower = labels.join(told, labels.node == told.a).select("node", F.col("component").alias("old"), F.least("component", "least").alias("component"))
-        up = lower.select(F.col("node").alias("via"), F.col("component").alias("further"))
-        new = stored(lower.join(up, lower.component == up.via, "left").select("node", "old", F.least("component", "further").alias("component")))
+        # a node with many neighbours, or a label of many nodes, is hot
+        told = joined_hot(edges.select("a", F.col("b").alias("node")), stored(labels.join(degrees, "node")), "node", "degree")
+        told = told.groupBy("a").agg(F.min("component").alias("least"))
+        lower = stored(labels.join(told, labels.node == told.a).select("node", F.col("component").alias("old"), F.least("component", "least").alias("via")))
+        sizes = lower.groupBy("via").agg(F.count("*").alias("many"))
+        up = stored(sizes.join(lower.select(F.col("node").alias("via"), F.col("via").alias("component")), "via"))
+        new = stored(joined_hot(lower, up, "via", "many").select("node", "old", "component"))
         if new.filter("old <> component").isEmpty():
             return labels
         labels = new.select("node", "component")
