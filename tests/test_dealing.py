@@ -5,6 +5,7 @@ from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
+from ladle.functions.dealing import dealt
 from ladle.operators import cleaning, fact
 
 
@@ -49,3 +50,17 @@ def test_fact_shuffles_its_lines_once(spark):
         assert sorted(r["item_id"] for r in df.collect()) == ["a", "a"]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_dealt_bounds_the_rows_of_a_task(spark):
+    df = spark.range(1000).select((F.col("id") % 400).alias("k"))
+    got = dealt(df, "k", rows_per_task=100)
+    sizes = got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count_distinct("k").alias("k")).collect()
+    assert got.rdd.getNumPartitions() == 10 and sum(r["n"] for r in sizes) == 1000 and sum(r["k"] for r in sizes) == 400
+    assert dealt(df.limit(0), "k").count() == 0
+
+
+def test_order_items_of_the_mart_are_dealt(mart):
+    want = sorted(map(str, fact.order_item_facts(mart.fact).collect()))
+    assert sorted(map(str, mart.order_items.collect())) == want
+    assert "REPARTITION_BY_NUM" in plan(fact.order_item_facts(dealt(mart.fact, "order_id")))
