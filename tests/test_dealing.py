@@ -6,7 +6,7 @@ from decimal import Decimal as D
 from pyspark.sql import functions as F
 
 from ladle.functions.dealing import dealt
-from ladle.operators import cleaning, fact
+from ladle.operators import cleaning, commerce, customers, fact, items
 
 
 def plan(df):
@@ -60,6 +60,36 @@ def test_dealt_bounds_the_rows_of_a_task(spark):
     assert dealt(df.limit(0), "k").count() == 0
 
 
+def facts_of(spark):
+    at = datetime(2026, 1, 1)
+    rows = [(1, "a", "c", 3, "x", False, "P05", True, D("6.00"), D("2.00")), (1, "b", "d", 3, "x", False, "P05", True, D("4.00"), D("1.00")),
+            (2, "a", "c", 3, "y", False, "P05", True, D("6.00"), D("2.00")), (3, "a", "c", 3, "x", False, "P10", True, D("6.00"), D("2.00")),
+            (4, "a", "c", 3, None, True, None, False, D("6.00"), D("2.00"))]
+    return spark.createDataFrame([(*r, at, at.date()) for r in rows], "order_id long, item_id string, category_id string, location_id int, customer_id string, "
+                                 "is_guest boolean, promotion_id string, has_promo boolean, revenue decimal(18,2), profit decimal(18,2), order_ts timestamp, order_date date")
+
+
+def first_is_dealt(df):
+    """The lowest shuffle is one of rows as they are."""
+    found = exchanges(df) or [("", plan(df))]
+    return "REPARTITION_BY_NUM" in plan(df) and "ENSURE_REQUIREMENTS" not in found[-1][1]
+
+
+def test_groups_of_few_rows_are_not_combined_before_their_shuffle(spark):
+    df = facts_of(spark)
+    promotions = spark.createDataFrame([("P05", "Five", "light", 5), ("P10", "Ten", "light", 10)], "promotion_id string, name string, type string, discount_pct int")
+    effect = commerce.promotion_effectiveness(df, promotions, df)
+    assert "REPARTITION_BY_NUM" in plan(effect)
+    assert {r["promotion_id"]: (r["order_share_pct"], r["aov"]) for r in effect.collect()} == {"P05": (40.0, 8.0), "P10": (20.0, 6.0)}
+    repeat = items.repeat_share(df)
+    assert first_is_dealt(repeat)
+    assert {r["item_id"]: r["repeat_pct"] for r in repeat.collect()} == {"a": 33.0, "b": 0.0}
+    orders = df.withColumns({"promo_lines": F.col("has_promo").cast("int"), "lines": F.lit(1)})
+    features = customers.customer_features(df, orders, F.lit("2026-01-02"))
+    assert "REPARTITION_BY_NUM" in plan(features)
+    assert {r["customer_id"]: r["categories"] for r in features.collect()} == {"x": 2, "y": 1}
+
+
 def test_order_items_of_the_mart_are_dealt(mart):
     want = sorted(map(str, fact.order_item_facts(mart.fact).collect()))
     assert sorted(map(str, mart.order_items.collect())) == want
