@@ -1,12 +1,13 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
-from ladle.functions.dealing import dealt
+from ladle.functions.dealing import dealt, dealt_alike
 from ladle.operators import cleaning, commerce, customers, fact, items
+from ladle.sources.star import StarTables
 
 
 def plan(df):
@@ -94,3 +95,24 @@ def test_order_items_of_the_mart_are_dealt(mart):
     want = sorted(map(str, fact.order_item_facts(mart.fact).collect()))
     assert sorted(map(str, mart.order_items.collect())) == want
     assert "REPARTITION_BY_NUM" in plan(fact.order_item_facts(dealt(mart.fact, "order_id")))
+
+
+def test_stock_deals_lines_and_orders_alike(spark):
+    """Their join adds no shuffle by order to those two; rows of one day are summed over tasks."""
+    day = date(2026, 1, 5)
+    lines = spark.createDataFrame([(i, "a", 2, day, "R" if i % 2 else "N") for i in range(8)] + [(None, "a", 9, day, "N"), (99, "a", 9, day, "N")],
+                                  "order_id long, item_id string, quantity int, ship_date date, return_flag string")
+    orders = spark.createDataFrame([(i, 3) for i in range(8)] + [(7, 4), (None, 3)], "order_id long, location_id int")
+    menu = spark.createDataFrame([("a", D("2.00"))], "item_id string, food_cost decimal(12,2)")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        a, b = dealt_alike(lines, orders, "order_id", rows_per_task=3)
+        joined = a.join(b, "order_id")
+        assert [origin.split(",")[0] for _, origin in exchanges(joined)] == ["REPARTITION_BY_NUM"] * 2 and joined.count() == 9
+        stock = StarTables(spark, "").stock_daily(lines, orders, F.broadcast(menu))
+        assert plan(stock).count("REPARTITION_BY_NUM") == 2
+        got = {r["location_id"]: (r["prepared_qty"], r["wasted_qty"], r["cost"]) for r in stock.collect()}
+        assert got == {3: (16, 8, D("16.00")), 4: (2, 2, D("4.00"))}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
