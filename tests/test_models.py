@@ -75,6 +75,22 @@ def test_clusters_and_churn(mart):
     assert bad.count() == 0
 
 
+def test_clustering_keeps_its_vectors_and_partitions_grow_with_the_rows(spark, monkeypatch):
+    """A run that gets the cached table itself decodes all its vectors in each pass."""
+    rows = spark.range(60).select(F.col("id").alias("customer_id"), *[((F.col("id") % 3) * 10 + F.col("id") % (i + 2)).alias(f)
+                                                                      for i, f in enumerate(ml.CLUSTER_FEATURES)])
+    seen, fit = [], ml.KMeans.fit
+    monkeypatch.setattr(ml.KMeans, "fit", lambda self, data: (seen.append((data.storageLevel, data.rdd.getNumPartitions())), fit(self, data))[1])
+    few = ml.cluster_customers(rows, 3, 2)
+    monkeypatch.setattr(ml, "CLUSTER_ROWS", 5)
+    more = ml.cluster_customers(rows, 3, 2)
+    assert [parts for _, parts in seen] == [8, 8, 12, 12]
+    assert not any(level.useMemory or level.useDisk for level, _ in seen)
+    for found in (few, more):
+        groups = {frozenset(r["customer_id"] % 3 for r in found.filter(F.col("cluster") == c).collect()) for c in range(3)}
+        assert groups == {frozenset([0]), frozenset([1]), frozenset([2])}
+
+
 def test_fits_do_not_depend_on_how_the_input_is_partitioned(mart):
     forest = lambda: {"Random Forest": ml.RandomForestClassifier(numTrees=8, maxDepth=6, seed=3)}
     keys, cells = ["item_id", "location_id"], mart.cells
